@@ -6,9 +6,9 @@ Queries without an oracle entry are checked by row count only (model fitting, it
 
 from __future__ import annotations
 
-from riskframe.catalog import metrics, prep
+from riskframe.catalog import fitted, metrics, prep
 
-MODULES = [prep, metrics]
+MODULES = [prep, metrics, fitted]
 
 
 def all_queries() -> dict:
