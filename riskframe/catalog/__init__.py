@@ -6,9 +6,9 @@ Queries without an oracle entry are checked by row count only (model fitting, it
 
 from __future__ import annotations
 
-from riskframe.catalog import fitted, metrics, models, prep
+from riskframe.catalog import federated, fitted, metrics, models, prep
 
-MODULES = [prep, metrics, fitted, models]
+MODULES = [prep, metrics, fitted, models, federated]
 
 
 def all_queries() -> dict:
