@@ -109,7 +109,7 @@ def _text_timestamp(s: Column) -> Column:
 
 def _serial_day(x: Column) -> Column:
     micros = F.round(x.cast("double") * F.lit(86_400_000_000.0)).cast("bigint")
-    return F.timestampadd("MICROSECOND", micros, F.lit(EXCEL_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", micros, F.lit(EXCEL_EPOCH).cast("timestamp_ntz"))
 
 
 def timestamp_expr(df: DataFrame, col: str) -> Column:
