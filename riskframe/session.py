@@ -62,11 +62,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/riskframe/{name}-{os.getpid()}-{abs(hash(os.urandom(8))) % 10**9}"
 
 
-def materialize(df):
+def materialize(df, keep_partitioning: bool = False):
     """Cut lineage with a reliable checkpoint into the shared ``spark.checkpoint.dir`` folder.
 
     Used where a result feeds several passes (rank cuts read their input three times) so that an
     expensive upstream plan is computed once, and a lost executor recomputes from the checkpoint.
+
+    ``keep_partitioning``: the checkpoint remembers the hash partitioning of ``df`` (e.g. after
+    ``repartition(n, keys)``), so later ``groupBy(keys)`` stages need no exchange.  Adaptive execution
+    hides the partitioning from the checkpoint, so it is switched off for this one action.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
