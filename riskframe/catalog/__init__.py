@@ -6,9 +6,9 @@ Queries without an oracle entry are checked by row count only (model fitting, it
 
 from __future__ import annotations
 
-from riskframe.catalog import federated, fitted, metrics, models, prep, training
+from riskframe.catalog import federated, fitted, metrics, models, prep, reporting, training
 
-MODULES = [prep, metrics, fitted, models, federated, training]
+MODULES = [prep, metrics, fitted, models, federated, training, reporting]
 
 
 def all_queries() -> dict:

@@ -54,3 +54,35 @@ def build_model_table(raw: DataFrame, target: str = TARGET, row_key: str | None
     roles = Roles(target=target, amount=amount, balance=balance, event_time=rule,
                   date_like=date_like, dropped=dropped)
     return ModelTable(model, roles, numeric, categorical)
+
+
+@dataclass
+class Prepared:
+    model: ModelTable
+    split: DataFrame      # row_id, features..., label, split (checkpointed)
+    prep: object          # FittedPrep
+    vectors: DataFrame    # row_id, split, label, features
+
+
+def run_preprocess(raw: DataFrame, out_dir: str | None = None, target: str = TARGET, row_key: str | None = None,
+                   match: str = "substring", seed: int = 42) -> Prepared:
+    """Section 3.1 end to end: model table -> exact stratified split -> train-only fit -> vectors, and
+    (with ``out_dir``) the sinks S2-S6: features, dense features, fitted statistics, manifest, ratios."""
+    from riskframe.operators.metrics import class_ratio
+    from riskframe.operators.prep import fit_prep
+    from riskframe.operators.split import stratified_split
+    from riskframe.session import materialize
+    from riskframe.sources import sinks
+
+    mt = build_model_table(raw, target, row_key, match)
+    split = materialize(stratified_split(mt.df, seed=seed))
+    prep = fit_prep(split.where(F.col("split") == "train"), mt.numeric, mt.categorical)
+    vectors = materialize(prep.transform(split).select("row_id", "split", "label", "features"))
+    if out_dir:
+        out = out_dir.rstrip("/")
+        sinks.write_features(vectors, f"{out}/processed/features")
+        sinks.write_dense(vectors, f"{out}/processed/dense")
+        sinks.write_prep(prep, raw.sparkSession, f"{out}/processed/preprocessor")
+        sinks.write_json(sinks.manifest(split, prep, mt.roles, target), f"{out}/processed/manifest")
+        sinks.write_csv(class_ratio(split, ["split"]), f"{out}/metrics/split_fraud_ratio")
+    return Prepared(mt, split, prep, vectors)
