@@ -70,16 +70,19 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = MEDIAN_ACC
         cond = x.isNotNull() if lo is None else x.between(F.lit(lo), F.lit(hi))
         parts.append(df.where(cond).select(F.lit(c).alias("col_name"), x.alias("x"),
                                            F.lit(below).alias("below"), F.lit(k1).alias("k1"), F.lit(k2).alias("k2")))
-    spark = df.sparkSession
     if not parts:
-        return spark.createDataFrame([], "col_name string, median double")
+        return df.sparkSession.createDataFrame([], "col_name string, median double")
     banded = parts[0]
     for p in parts[1:]:
         banded = banded.unionByName(p)
-    w = Window.partitionBy("col_name").orderBy("x")
-    ranked = banded.withColumn("r", F.row_number().over(w) + F.col("below"))
-    return (ranked.where((F.col("r") == F.col("k1")) | (F.col("r") == F.col("k2")))
-            .groupBy("col_name").agg(F.avg("x").alias("median")))
+    # Collapse the band to distinct values with counts first (map-side combine), so a hot value holding
+    # many rows is one row here; then cumulative counts over the band's distinct values locate k1, k2.
+    counts = banded.groupBy("col_name", "x", "below", "k1", "k2").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("col_name").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("hi_r", F.sum("c").over(w) + F.col("below")).withColumn("lo_r", F.col("hi_r") - F.col("c"))
+    at = lambda k: (F.col("lo_r") < F.col(k)) & (F.col(k) <= F.col("hi_r"))
+    return cum.groupBy("col_name").agg(
+        ((F.max(F.when(at("k1"), F.col("x"))) + F.max(F.when(at("k2"), F.col("x")))) / 2.0).alias("median"))
 
 
 def column_means_scales(df: DataFrame, cols: Sequence[str], fill: dict[str, float]) -> DataFrame:
