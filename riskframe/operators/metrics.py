@@ -172,10 +172,17 @@ def score_curve(scores: DataFrame, by: Sequence[str] = ("model",), score: str =
     probs = [i / buckets for i in range(1, buckets)]
     cuts = distinct.groupBy(*by).agg(
         F.percentile_approx(score, probs, CURVE_ACCURACY).alias("_cuts"))
-    n_groups = cuts.persist().count()
+    cuts = cuts.persist()
+    n_groups = cuts.count()
     steps = max(1, (buckets - 1).bit_length()) + 1
-    bucketed = distinct.join(F.broadcast(cuts) if n_groups * buckets <= BROADCAST_ROWS else cuts, by) \
-        .withColumn("_b", count_below(F.col("_cuts"), F.col(score), steps)).drop("_cuts")
+    if n_groups == 1:
+        # One group: the 1,023 cut points become a literal array (no join at all).
+        arr = cuts.first()["_cuts"] or []
+        lit_cuts = F.array(*[F.lit(float(v)) for v in arr]).cast("array<double>")
+        bucketed = distinct.withColumn("_b", count_below(lit_cuts, F.col(score).cast("double"), steps))
+    else:
+        bucketed = distinct.join(F.broadcast(cuts) if n_groups * buckets <= BROADCAST_ROWS else cuts, by) \
+            .withColumn("_b", count_below(F.col("_cuts"), F.col(score), steps)).drop("_cuts")
 
     totals = bucketed.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     above = Window.partitionBy(*by).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
@@ -221,14 +228,31 @@ def ranking_metrics(scores: DataFrame, by: Sequence[str] = ("model",), score: st
 
 def model_metrics(scores: DataFrame, by: Sequence[str] = ("model",), threshold: float = 0.5,
                   score: str = "score", label: str = "label") -> DataFrame:
-    """A8 + A9 + A10: accuracy, precision, recall, F1, ROC-AUC, PR-AUC per group."""
+    """A8 + A9 + A10: accuracy, precision, recall, F1, ROC-AUC, PR-AUC per group.
+
+    One aggregation over the score curve's distinct-score rows: the confusion counts at the threshold
+    are sums of ``pos`` / ``neg`` over scores >= threshold, so no second pass and no join is needed.
+    """
     by = list(by)
     keys = by or ["_all"]
     if not by:
         scores = scores.withColumn("_all", F.lit(0))
-    t = threshold_metrics(scores, keys, threshold, score, label)
-    r = ranking_metrics(scores, keys, score, label)
-    out = t.join(r, keys, "left")
+    c = score_curve(scores, keys, score, label)
+    above = F.col(score) >= F.lit(float(threshold))
+    tp, pos, neg, fp = F.col("tp"), F.col("pos"), F.col("neg"), F.col("fp")
+    g = c.groupBy(*keys).agg(
+        F.sum(F.when(above, pos).otherwise(0)).alias("tp"),
+        F.sum(F.when(above, neg).otherwise(0)).alias("fp"),
+        F.first("n_pos").alias("_P"), F.first("n_neg").alias("_N"),
+        F.sum(neg.cast("double") * (tp - pos / 2.0)).alias("_auc"),
+        F.sum(pos.cast("double") * tp / (tp + fp)).alias("_ap"))
+    P, N = F.col("_P"), F.col("_N")
+    counts = g.select(*keys, "tp", "fp", (P - F.col("tp")).alias("fn"), (N - F.col("fp")).alias("tn"), "_P", "_N",
+                      "_auc", "_ap")
+    out = threshold_metrics_from_counts(counts, keys + ["_P", "_N", "_auc", "_ap"]).select(
+        *keys, "n", "accuracy", "precision", "recall", "f1",
+        F.when((P > 0) & (N > 0), F.col("_auc") / (P * N)).alias("roc_auc"),
+        F.when(P > 0, F.col("_ap") / P).alias("pr_auc"))
     return out if by else out.drop("_all")
 
 
