@@ -2,17 +2,20 @@
 
 Splits, client partitions and subsamples all ask one question: *which rank interval of a seeded random
 order does each row fall in?*  ``row_number() OVER (PARTITION BY label ORDER BY h)`` answers it, but
-puts a whole stratum (up to all rows) in one task.  Here instead:
-
-1. rows are bucketed by the leading bits of their 32-bit order hash ``h`` (order preserving, uniform);
-2. one aggregation counts rows per (stratum, lead keys, bucket) - a table bounded by
-   ``strata x lead x 2^bits`` rows, independent of the data size;
-3. a window over that small table gives each bucket its starting rank;
-4. buckets lying wholly inside one rank interval are resolved by a broadcast join, map side;
-5. only rows of the few buckets that straddle an interval edge get an exact ``row_number`` inside
-   their bucket (one small window per edge).
-
-The result is identical to the plain window (ties on ``h`` broken by a tiebreak column).
+puts a whole stratum (up to all rows) in one task.  Here instead, rows are ranked by the prefixes of
+their 32-bit order hash ``h`` (order preserving, uniform), refined level by level:
+
+1. level 1 counts rows per (stratum, lead keys, top 8 bits of ``h``) - at most 256 buckets per stratum,
+   so each map task emits at most 256 partial counts per stratum whatever the data size;
+2. a window over that small table gives each bucket its first rank; buckets lying wholly inside one
+   rank interval are resolved by a broadcast join, map side, with no shuffle of the rows;
+3. only rows of the few buckets that straddle an interval edge go on to the next level, which counts
+   them by the next 8 bits inside their parent bucket, and so on;
+4. once the undecided rows are few (``window_rows``), they get an exact ``row_number`` inside their
+   bucket.
+
+The result is identical to the plain window (ties on ``h`` broken by a tiebreak column).  Every small
+table is bounded by ``parents x 2^bits`` rows and checked before it is broadcast.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET_BITS = 16
+LEVEL_BITS = (8, 8, 8, 8)
+# Undecided rows left for the final exact window (spread over a handful of buckets).
+WINDOW_ROWS = 1 << 22
 # Upper bound (rows) for a bucket table we broadcast; above it the joins fall back to shuffles.
 BROADCAST_ROWS = 2_000_000
 
@@ -42,14 +47,16 @@ def assign_by_rank(
     segments: SegmentFn,
     strata: Sequence[str] = (),
     lead: Sequence[str] = (),
-    bits: int = BUCKET_BITS,
+    level_bits: Sequence[int] = LEVEL_BITS,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Attach the payload of the rank interval each row falls in.
 
     Rows are ranked 1..n within ``strata`` by ``(lead..., hash_col, tiebreak)``.  ``segments`` receives a
     DataFrame ``(strata..., n)`` of stratum sizes and returns ``(strata..., _lo, _hi, payload...)``:
     inclusive, disjoint rank intervals covering ``1..n``.  Every input row comes out exactly once with
-    the payload columns added.  ``strata`` and ``lead`` must be low-cardinality columns.
+    the payload columns added.  ``strata`` and ``lead`` must be low-cardinality columns and
+    ``sum(level_bits) <= 32``.
     """
     strata = list(strata)
     lead = list(lead)
@@ -59,37 +66,73 @@ def assign_by_rank(
         strata_keys = ["_all"]
     else:
         strata_keys = strata
-    d = d.withColumn("_b", F.shiftright(F.col(hash_col), 32 - bits))
-    keys = strata_keys + lead + ["_b"]
-
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*strata_keys).orderBy(*lead, "_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = counts.withColumn("_start", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("bigint"))
-    buckets = buckets.persist()
-    n_buckets = buckets.count()  # proven size of every small table below
-
-    totals = buckets.groupBy(*strata_keys).agg(F.sum("_cnt").cast("bigint").alias("n"))
-    if strata:
-        segs = segments(totals)
-    else:
-        segs = segments(totals.drop("_all")).withColumn("_all", F.lit(0))
-    segs = segs.persist()
-    payload = [c for c in segs.columns if c not in set(strata_keys) | {"_lo", "_hi"}]
-
-    inside = (F.col("_lo") <= F.col("_start") + 1) & (F.col("_hi") >= F.col("_start") + F.col("_cnt"))
-    resolved = buckets.join(F.broadcast(segs), strata_keys).where(inside).select(*keys, *payload)
-    boundary = buckets.join(resolved.select(*keys), keys, "left_anti").select(*keys, "_start")
-
-    part_a = d.join(_maybe_broadcast(resolved, n_buckets), keys)
-    within = Window.partitionBy(*keys).orderBy(hash_col, tiebreak)
-    part_b = (
-        d.join(_maybe_broadcast(boundary, n_buckets), keys)
+    for i, used in enumerate(_cumulative(level_bits)):
+        d = d.withColumn(f"_p{i}", F.shiftright(F.col(hash_col), 32 - used))
+
+    segs = None
+    payload: list[str] = []
+    pieces = []
+    parent = None            # undecided buckets of the previous level: keys + _start
+    parent_keys: list[str] = []
+    n_parent = 0
+    for level, bits in enumerate(level_bits):
+        pcol = f"_p{level}"
+        keys = strata_keys + lead + [pcol]
+        src = d if parent is None else d.join(_maybe_broadcast(parent.select(*parent_keys), n_parent), parent_keys)
+        counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+        if parent is None:
+            before = Window.partitionBy(*strata_keys).orderBy(*lead, pcol).rowsBetween(Window.unboundedPreceding, -1)
+            buckets = counts.withColumn("_start", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("bigint"))
+        else:
+            up = f"_p{level - 1}"
+            before = Window.partitionBy(*parent_keys).orderBy(pcol).rowsBetween(Window.unboundedPreceding, -1)
+            buckets = (counts.withColumn(up, F.shiftright(F.col(pcol), bits))
+                       .join(_maybe_broadcast(parent.select(*parent_keys, F.col("_start").alias("_pstart")), n_parent),
+                             parent_keys)
+                       .withColumn("_start", (F.col("_pstart") + F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+                                   .cast("bigint"))
+                       .drop(up, "_pstart"))
+        buckets = buckets.persist()
+        n_buckets = buckets.count()  # proven size of this level's small tables
+        if segs is None:
+            totals = buckets.groupBy(*strata_keys).agg(F.sum("_cnt").cast("bigint").alias("n"))
+            if strata:
+                segs = segments(totals)
+            else:
+                segs = segments(totals.drop("_all")).withColumn("_all", F.lit(0))
+            segs = segs.persist()
+            payload = [c for c in segs.columns if c not in set(strata_keys) | {"_lo", "_hi"}]
+        inside = (F.col("_lo") <= F.col("_start") + 1) & (F.col("_hi") >= F.col("_start") + F.col("_cnt"))
+        resolved = buckets.join(F.broadcast(segs), strata_keys).where(inside).select(*keys, *payload)
+        pieces.append(src.join(_maybe_broadcast(resolved, n_buckets), keys))
+        undecided = buckets.join(resolved.select(*keys), keys, "left_anti").select(*keys, "_start", "_cnt").persist()
+        stats = undecided.agg(F.count(F.lit(1)).alias("k"), F.sum("_cnt").alias("rows")).first()
+        parent, parent_keys, n_parent = undecided, keys, stats["k"]
+        if not stats["rows"] or stats["rows"] <= window_rows:
+            break
+
+    within = Window.partitionBy(*parent_keys).orderBy(hash_col, tiebreak)
+    rest = (
+        d.join(_maybe_broadcast(parent, n_parent), parent_keys)
         .withColumn("_rank", F.row_number().over(within) + F.col("_start"))
         .join(F.broadcast(segs), strata_keys)
         .where((F.col("_rank") >= F.col("_lo")) & (F.col("_rank") <= F.col("_hi")))
     )
     cols = [c for c in df.columns] + payload
-    return part_a.select(*cols).unionByName(part_b.select(*cols))
+    out = rest.select(*cols)
+    for piece in pieces:
+        out = piece.select(*cols).unionByName(out)
+    return out
+
+
+def _cumulative(bits: Sequence[int]) -> list[int]:
+    out, total = [], 0
+    for b in bits:
+        total += b
+        out.append(total)
+    if total > 32:
+        raise ValueError("level bits must add up to at most 32")
+    return out
 
 
 # ---------------------------------------------------------------------------------------------

@@ -26,7 +26,7 @@ def test_assign_by_rank_equals_window_with_ties(spark):
         sizes = F.array(*[F.lit(b - a) for a, b in zip(cuts, cuts[1:])], F.col("n") - F.lit(cuts[-1]))
         return intervals_from_sizes(totals, [], sizes, F.array(*[F.lit(i) for i in range(len(cuts))]), "seg")
 
-    got = {r["row_id"]: r["seg"] for r in assign_by_rank(d, hash_col="h", tiebreak="row_id", segments=segs, bits=4).collect()}
+    got = {r["row_id"]: r["seg"] for r in assign_by_rank(d, hash_col="h", tiebreak="row_id", segments=segs, level_bits=(2, 2, 3), window_rows=40).collect()}
     w = Window.orderBy("h", "row_id")
     ranked = d.withColumn("rk", F.row_number().over(w)).collect()
     for r in ranked:
@@ -98,3 +98,24 @@ def test_order_hash_matches_python(spark):
     got = spark.range(5).select(order_hash("id", 42).alias("h")).collect()
     for i, r in enumerate(got):
         assert r["h"] == int(hashlib.md5(f"{i}:42".encode()).hexdigest()[:8], 16)
+
+
+def test_multilevel_with_strata_and_lead_equals_window(spark):
+    rnd = random.Random(11)
+    rows = [(i, rnd.randint(0, 1), rnd.randint(0, 2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id long, s int, g int").withColumn("h", order_hash("row_id", 5))
+
+    def segs(totals):
+        t = F.floor(F.col("n") * 0.3).cast("bigint")
+        u = F.floor(F.col("n") * 0.55).cast("bigint")
+        return intervals_from_sizes(totals, ["s"], F.array(t, u - t, F.col("n") - u), F.array(F.lit(0), F.lit(1), F.lit(2)), "seg")
+
+    out = assign_by_rank(df, hash_col="h", tiebreak="row_id", segments=segs, strata=["s"], lead=["g"],
+                         level_bits=(3, 3, 3), window_rows=25)
+    got = {r["row_id"]: r["seg"] for r in out.collect()}
+    w = Window.partitionBy("s").orderBy("g", "h", "row_id")
+    ranked = df.withColumn("rk", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("s")))
+    for r in ranked.collect():
+        t, u = int(r["n"] * 0.3), int(r["n"] * 0.55)
+        assert got[r["row_id"]] == (0 if r["rk"] <= t else 1 if r["rk"] <= u else 2)
+    assert len(got) == 3000
