@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.prep import txn_model, txn_split
 from riskframe.catalog.sqlparts import R6, SPLIT_CTE, TXN_MODEL_CTE, with_ctes
+from riskframe.operators.roles import feature_column_kinds
 from riskframe.operators.prep import column_means_scales, column_modes, exact_medians, fit_prep, nonzero_long
 
 # The txn model table's column kinds (P10 resolves them from the schema; the oracle
@@ -27,7 +28,7 @@ def _train(spark, sf_dir):
 
 def fitted(spark, sf_dir):
     split = txn_split(spark, sf_dir)
-    numeric, categorical = _kinds(spark, sf_dir)
+    numeric, categorical = feature_column_kinds(split.schema, exclude=["row_id", "label", "split"])  # P10
     return split, fit_prep(split.where(F.col("split") == "train"), numeric, categorical)
 
 

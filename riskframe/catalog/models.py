@@ -31,7 +31,8 @@ def vectors(spark, sf_dir) -> DataFrame:
 
 def _train_test(spark, sf_dir):
     v = vectors(spark, sf_dir)
-    train = subsample(v.where(F.col("split") == "train"), MAX_TRAIN_SAMPLES)
+    # The capped training rows feed several estimator passes: cut the rank-cut lineage once.
+    train = materialize(subsample(v.where(F.col("split") == "train"), MAX_TRAIN_SAMPLES))
     return train, v.where(F.col("split") == "test")
 
 
