@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.catalog.sqlparts import R6
 from riskframe.functions.hashing import gaussian_noise_sql
 from riskframe.operators import federated as FD
+from riskframe.operators.rank import ordered_row_number
 from riskframe.sources import fixtures as fx
 from riskframe.sources.tables import read_table
 
@@ -45,8 +46,8 @@ def params(spark, sf_dir) -> DataFrame:
     mod 3, round = order of vec_id inside the client, one layer holding the vector."""
     emb = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.concat(F.lit("w"), (F.col("label") % 3 + 1).cast("string")).alias("client_id"))
-    w = Window.partitionBy("client_id").orderBy("vec_id")
-    return (emb.withColumn("round", F.row_number().over(w))
+    # round = row_number() over (partition by client order by vec_id), without a task per client
+    return (ordered_row_number(emb, ["client_id"], "vec_id", "round")
             .select("round", "client_id", F.lit(0).alias("layer"), F.posexplode("embedding").alias("idx", "v"))
             .select("round", "client_id", "layer", "idx", F.col("v").cast("double").alias("value")))
 

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.rank import count_below
+
 CURVE_BUCKETS = 1024
 CURVE_ACCURACY = 20_000
 BROADCAST_ROWS = 2_000_000
@@ -145,21 +147,6 @@ def class_report(scores: DataFrame, by: Sequence[str] = ("model",), threshold: f
 # Score curves (W1) and ranking metrics
 
 
-def count_below(sorted_cuts: Column, x: Column, steps: int) -> Column:
-    """Number of elements of an ascending array below ``x``, by a fixed-step binary search."""
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = ((lo + hi) / 2).cast("int")
-        active = lo < hi
-        less = F.coalesce(F.try_element_at(sorted_cuts, mid + 1) < x, F.lit(False))
-        return F.struct(F.when(active & less, mid + 1).otherwise(lo).alias("lo"),
-                        F.when(active & ~less, mid).otherwise(hi).alias("hi"))
-
-    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_cuts).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-
-
 def score_curve(scores: DataFrame, by: Sequence[str] = ("model",), score: str = "score",
                 label: str = "label", buckets: int = CURVE_BUCKETS) -> DataFrame:
     """One row per (group, distinct score) with ``pos``, ``neg`` at that score and cumulative

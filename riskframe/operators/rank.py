@@ -165,3 +165,45 @@ def ntile_sizes(n: Column, k: int) -> Column:
     q = F.floor(n / k)
     r = n - q * k
     return F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.when(i <= r, q + 1).otherwise(q))
+
+
+# ---------------------------------------------------------------------------------------------
+# Exact row numbers in a value order (not a hash order), for ordered numbering inside large groups.
+
+
+def count_below(sorted_cuts: Column, x: Column, steps: int) -> Column:
+    """Number of elements of an ascending array below ``x``, by a fixed-step binary search."""
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = ((lo + hi) / 2).cast("int")
+        active = lo < hi
+        less = F.coalesce(F.try_element_at(sorted_cuts, mid + 1) < x, F.lit(False))
+        return F.struct(F.when(active & less, mid + 1).otherwise(lo).alias("lo"),
+                        F.when(active & ~less, mid).otherwise(hi).alias("hi"))
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_cuts).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
+def ordered_row_number(df: DataFrame, by: Sequence[str], order: str, out: str = "rn",
+                       buckets: int = 1024, accuracy: int = 20_000) -> DataFrame:
+    """``row_number() OVER (PARTITION BY by ORDER BY order)`` for a column of distinct values per group,
+    without one task per group: values are cut into order-preserving buckets at approximate quantiles
+    (per group), bucket counts are cumulated over a small table, and the exact number comes from a window
+    inside each (group, bucket)."""
+    by = list(by)
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = df.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("_cuts")).persist()
+    n_groups = cuts.count()
+    steps = max(1, (buckets - 1).bit_length()) + 1
+    d = df.join(_maybe_broadcast(cuts, n_groups * buckets), by) \
+        .withColumn("_b", count_below(F.col("_cuts"), F.col(order).cast("double"), steps)).drop("_cuts")
+    counts = d.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, "_b", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")).persist()
+    n_off = offsets.count()
+    within = Window.partitionBy(*by, "_b").orderBy(order)
+    return (d.join(_maybe_broadcast(offsets, n_off), [*by, "_b"])
+            .withColumn(out, (F.row_number().over(within) + F.col("_off")).cast("int"))
+            .drop("_b", "_off"))

@@ -119,3 +119,15 @@ def test_multilevel_with_strata_and_lead_equals_window(spark):
         t, u = int(r["n"] * 0.3), int(r["n"] * 0.55)
         assert got[r["row_id"]] == (0 if r["rk"] <= t else 1 if r["rk"] <= u else 2)
     assert len(got) == 3000
+
+
+def test_ordered_row_number_equals_window(spark):
+    from riskframe.operators.rank import ordered_row_number
+
+    rnd = random.Random(5)
+    vals = rnd.sample(range(100000), 2500)
+    rows = [(v, f"g{rnd.randint(0, 2)}") for v in vals]
+    df = spark.createDataFrame(rows, "v long, g string")
+    got = {r["v"]: r["rn"] for r in ordered_row_number(df, ["g"], "v", buckets=16).collect()}
+    want = {r["v"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v"))).collect()}
+    assert got == want

@@ -86,3 +86,17 @@ def test_model_table_columns(spark):
     assert mt.roles.dropped == ["Customer_ID", "Customer_Name", "Transaction_ID"]
     assert mt.categorical == ["Transaction_Type", "Segment", "Nation"]
     assert "Transaction_Date" not in mt.df.columns and mt.df.count() == 981
+
+
+def test_csv_source_builds_same_model_table(spark, tmp_path):
+    from riskframe.sources.fixtures import txn_raw
+    from riskframe.sources.tables import read_raw
+
+    raw = txn_raw(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "raw_csv")
+    raw.write.mode("overwrite").option("header", True).csv(path)
+    back = read_raw(spark, path, "csv", schema=raw.schema)
+    a = build_model_table(raw, row_key="Transaction_ID").df
+    b = build_model_table(back, row_key="Transaction_ID").df
+    assert a.count() == b.count() == 981
+    assert a.exceptAll(b).count() == 0
