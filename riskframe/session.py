@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -82,3 +83,33 @@ def materialize(df, keep_partitioning: bool = False):
         return df.checkpoint(eager=True)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``riskframe`` importable by the Python workers that run our pandas functions.
+
+    Zips the package's ``.py`` files once per application and registers the zip with
+    ``SparkContext.addPyFile``; Spark copies it to every executor (and to executors added later).
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        base = tempfile.mkdtemp(prefix="riskframe-code-")  # the driver serves the zip to executors
+    base = base.removeprefix("file://").removeprefix("file:")
+    os.makedirs(base, exist_ok=True)
+    path = os.path.join(base, f"riskframe-{key}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
