@@ -9,7 +9,7 @@ from riskframe.catalog.sqlparts import R6, SPLIT_CTE, TXN_MODEL_CTE, with_ctes
 from riskframe.functions.hashing import order_hash_sql
 from riskframe.operators.features import sanitize_target
 from riskframe.operators.metrics import class_ratio
-from riskframe.operators.roles import event_time_candidates, parse_rates  # noqa: F401
+from riskframe.operators.roles import event_time_candidates
 from riskframe.operators.split import partition_clients, stratified_split, subsample
 from riskframe.plans.preprocess import build_model_table, with_row_id
 from riskframe.session import materialize

@@ -1,7 +1,6 @@
 """End-to-end plans with their sinks on the smallest tables (fewer trees than the defaults)."""
 
 import functools
-import os
 import tempfile
 
 from pyspark.sql import functions as F

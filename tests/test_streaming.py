@@ -2,7 +2,6 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
 
 from riskframe.operators import models as ML
 from riskframe.operators.roles import resolve_event_time
