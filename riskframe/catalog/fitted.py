@@ -115,10 +115,10 @@ modes AS (SELECT col_name, x AS mode FROM (
    SELECT *, row_number() OVER (PARTITION BY col_name ORDER BY c DESC, x) AS rk FROM cnt) WHERE rk = 1),
 cats AS (SELECT col_name, x, row_number() OVER (PARTITION BY col_name ORDER BY x) - 1 AS ci,
                 count(*) OVER (PARTITION BY col_name) AS ncat FROM cnt),
-cpos AS (SELECT DISTINCT col_name, cpos FROM tc),
-offs AS (SELECT c.col_name, {len(TXN_NUMERIC)} + coalesce(sum(n2.ncat) FILTER (WHERE c2.cpos < c.cpos), 0) AS off
-         FROM cpos c JOIN cpos c2 ON TRUE JOIN (SELECT DISTINCT col_name, ncat FROM cats) n2 ON n2.col_name = c2.col_name
-         GROUP BY c.col_name)
+cpos AS (SELECT DISTINCT cats.col_name, tc.cpos, cats.ncat FROM cats JOIN (SELECT DISTINCT col_name, cpos FROM tc) tc
+         USING (col_name)),
+offs AS (SELECT col_name, {len(TXN_NUMERIC)} + coalesce(sum(ncat) OVER (ORDER BY cpos ROWS BETWEEN UNBOUNDED PRECEDING
+         AND 1 PRECEDING), 0) AS off FROM cpos)
 """
 
 ORACLE = {

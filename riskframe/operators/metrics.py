@@ -153,8 +153,9 @@ def score_curve(scores: DataFrame, by: Sequence[str] = ("model",), score: str =
     ``tp``, ``fp`` over scores >= it, plus group totals ``P``-as-``n_pos`` and ``n_neg``."""
     by = list(by)
     y = F.col(label)
+    # Read three times below (cut points, bucket totals, the final pass): keep the aggregate.
     distinct = scores.groupBy(*by, score).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg"))
+        F.count_if(y == 1).alias("pos"), F.count_if(y != 1).alias("neg")).persist()
 
     probs = [i / buckets for i in range(1, buckets)]
     cuts = distinct.groupBy(*by).agg(

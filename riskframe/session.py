@@ -6,6 +6,7 @@ returns a DataFrame.  These helpers exist for tests, ``bench.py`` and the comman
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import zipfile
@@ -32,6 +33,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
@@ -91,25 +93,30 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``riskframe`` importable by the Python workers that run our pandas functions.
 
-    Zips the package's ``.py`` files once per application and registers the zip with
-    ``SparkContext.addPyFile``; Spark copies it to every executor (and to executors added later).
+    Zips the package's ``.py`` files once per application into the shared checkpoint folder (through the
+    Hadoop FileSystem API, so any cluster file system works) and registers the zip with
+    ``SparkContext.addPyFile``; Spark copies it to every executor, including executors added later.
     """
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        base = tempfile.mkdtemp(prefix="riskframe-code-")  # the driver serves the zip to executors
-    base = base.removeprefix("file://").removeprefix("file:")
-    os.makedirs(base, exist_ok=True)
-    path = os.path.join(base, f"riskframe-{key}.zip")
-    with zipfile.ZipFile(path, "w") as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
         for root, _, files in os.walk(pkg_dir):
             for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(path)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/riskframe-code/riskframe-{key}.zip")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path.toString())
     _SHIPPED.add(key)
