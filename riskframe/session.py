@@ -13,7 +13,7 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session of ours needs for correct results, whatever the cluster defaults are.
+# Settings of our local sessions (results do not depend on them; timestamps are zone-free).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -50,21 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local test session) do we pick a fresh scratch folder of our own.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc._jsc.sc().getCheckpointDir()
+    path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or (current.get() if current.isDefined() else None))
     if not path:
         path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if current.isEmpty():
         sc.setCheckpointDir(path)
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder, for tables written to cut lineage."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/riskframe/{name}-{os.getpid()}-{abs(hash(os.urandom(8))) % 10**9}"
-
-
 def materialize(df, keep_partitioning: bool = False):
     """Cut lineage with a reliable checkpoint into the shared ``spark.checkpoint.dir`` folder.
 
