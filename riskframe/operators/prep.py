@@ -33,16 +33,12 @@ def _long(df: DataFrame, cols: Sequence[str], cast: str | None = None) -> DataFr
     return df.select(F.inline(pairs)).where(F.col("x").isNotNull())
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """Exact (interpolating) median of each column, NULLs ignored: DataFrame ``(col_name, median)``."""
-    cols = list(cols)
-    if not cols:
-        return df.sparkSession.createDataFrame([], "col_name string, median double")
-    eps = 3.0 / accuracy
+def _band_plans(df: DataFrame, cols: Sequence[str], accuracy: int, eps: float) -> dict:
+    """For each column: (lo, hi, rows below lo, k1, k2) when the value band [lo, hi] provably holds the
+    middle ranks k1, k2; None when the check fails; absent when the column has no values."""
     probs = [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)]
     band = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in cols]).first()
     lo_hi = {c: (band[c][0], band[c][1]) if band[c] else (None, None) for c in cols}
-
     counts = df.agg(*[
         agg for c in cols for agg in (
             F.count(c).alias(f"n_{c}"),
@@ -50,19 +46,32 @@ def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = MEDIAN_ACC
             F.count_if(F.col(c).cast("double") <= F.lit(lo_hi[c][1])).alias(f"le_{c}"),
         )
     ]).first()
-
-    plan = []  # (column, lo, hi, below, k1, k2)
+    out = {}
     for c in cols:
         n = counts[f"n_{c}"]
         if not n:
             continue
         k1, k2 = (n + 1) // 2, n // 2 + 1
         lo, hi = lo_hi[c]
-        if lo is None or not (counts[f"lt_{c}"] < k1 and counts[f"le_{c}"] >= k2):
-            lo, hi, below = None, None, 0  # band check failed: rank the whole column (exact fallback)
-        else:
-            below = counts[f"lt_{c}"]
-        plan.append((c, lo, hi, below, k1, k2))
+        ok = lo is not None and counts[f"lt_{c}"] < k1 and counts[f"le_{c}"] >= k2
+        out[c] = (lo, hi, counts[f"lt_{c}"], k1, k2) if ok else (None, None, 0, k1, k2)
+    return out
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str], accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """Exact (interpolating) median of each column, NULLs ignored: DataFrame ``(col_name, median)``.
+
+    The band is ``0.5 +- 3/accuracy`` in rank (the sketch's guarantee); a column whose band check fails is
+    retried with a 20x wider band, and only then ranked whole (exact, but one window per column).
+    """
+    cols = list(cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_name string, median double")
+    plans = _band_plans(df, cols, accuracy, 3.0 / accuracy)
+    retry = [c for c, p in plans.items() if p[0] is None]
+    if retry:
+        plans.update(_band_plans(df, retry, accuracy, 60.0 / accuracy))
+    plan = [(c, *plans[c]) for c in cols if c in plans]
 
     parts = []
     for c, lo, hi, below, k1, k2 in plan:
