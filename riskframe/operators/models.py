@@ -28,7 +28,8 @@ FOREST = {"numTrees": 300, "maxDepth": 14, "minInstancesPerNode": 8}
 BOOSTED = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 TREE = {"maxDepth": 12, "minInstancesPerNode": 20}
 CALIBRATION_FOLDS = 3
-# Weighted blends: (model a, model b, weight a, weight b).
+# Result-table model labels and weighted blends (model a, model b, weight a, weight b) as the
+# reference names them, so result rows keep their names; the "xgboost" label is served by Spark's GBT.
 BLENDS = (("xgboost", "logistic_regression", 0.7, 0.3), ("xgboost", "random_forest", 0.6, 0.4))
 
 

@@ -21,6 +21,7 @@ from riskframe.sources import sinks
 
 MAX_TRAIN_SAMPLES = 60_000
 
+# Result-table model labels (see ``models.BLENDS``) -> Spark ML fitters.
 FITTERS = {
     "logistic_regression": ML.fit_logistic,
     "svm_linear_calibrated": ML.fit_svm_calibrated,
