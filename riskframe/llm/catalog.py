@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, mixing
+from riskframe.llm import chat, mixing, pii, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_chat_format": chat.op3_chat_format,
+    "op7_warc": warc.op7_warc,
+    "op8_private": pii.op8_private,
 }
 ORACLE = {
     "op1_mix_sources": mixing.oracle(),
     "op3_chat_format": chat.ORACLE,
+    "op7_warc": warc.ORACLE,
 }
