@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, mixing, pii, warc
+from riskframe.llm import chat, mixing, pii, toxicity, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_chat_format": chat.op3_chat_format,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
     "op8_private": pii.op8_private,
 }
