@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, mixing, pii, toxicity, warc
+from riskframe.llm import chat, jaccard, lines, mixing, pii, toxicity, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op3_chat_format": chat.op3_chat_format,
+    "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
     "op8_private": pii.op8_private,
+    "op10_line_dedup": lines.op10_line_dedup,
 }
 ORACLE = {
     "op1_mix_sources": mixing.oracle(),

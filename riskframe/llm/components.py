@@ -50,36 +50,42 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("comp"))).distinct())
 
 
-def link_buckets(rows: DataFrame, payload: Sequence[str], near: Callable[[Callable, Callable], Column],
-                 verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None,
-                 known: DataFrame | None = None) -> DataFrame:
-    """Components of the graph "two items share a bucket, are ``near`` and pass ``verify``", exactly.
+def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Callable, Callable], Column],
+                 verify: Callable[[DataFrame], DataFrame], *, sparse: bool = False,
+                 prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """``(id, comp)`` of all linked items of ``items(id, keys array<long>, *payload)``, exactly.
 
-    ``rows(key, id, *payload)`` are distinct.  Round one links each item to the smallest id of its bucket, a
-    star instead of all pairs.  A pair whose two items are then in one component cannot change the
-    result; round two compares only items of different components in the buckets that still hold
-    several, inside the join, so that only ``near`` pairs become rows.  ``verify`` gets pairs (a, b) and returns
-    the linked ones; ``prepare`` (if given) gets the ids that may appear in pairs.
+    The graph: two items share a key, are ``near`` by their payloads and pass ``verify``.  Round one links each item
+    to the smallest item of its bucket, a star instead of all pairs.  A pair whose two items are then in one component
+    cannot change the result, so round two compares only items of different components, inside the
+    join, where only ``near`` pairs become rows.  Joins are on the key, which adaptive execution splits when it is hot.
+
+    ``verify`` gets distinct pairs (a, b) and returns the linked ones.  ``sparse``: most keys have one item; those
+    rows are dropped first, rows of ``items`` may repeat, and ``near`` is left to ``verify`` in round one.  ``prepare`` then gets the ids left.
     """
-    side = F.struct(F.col("id"), *payload)
-    bounds = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    shared = staged(rows.join(bounds.select("key"), "key", "left_semi"), "buckets")
-    if prepare:
-        prepare(shared.select("id").distinct())
-    hubs = shared.groupBy("key").agg(F.min(side).alias("hub")).withColumnRenamed("key", "hub_key")
-    star = (shared.join(hubs, F.col("key") == F.col("hub_key")).where(F.col("id") != F.col("hub.id"))
-            .where(near(lambda c: F.col(c), lambda c: F.col(f"hub.{c}")))
-            .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
-    star = staged(star, "pairs")
-    edges = staged(verify(star), "links")
-    if known is not None:
-        edges = edges.unionByName(known.select("a", "b"))
-    label = staged(components(edges), "labels")
+    rows = items.select("id", F.explode("keys").alias("key"), *([] if sparse else payload))
+    side = F.struct("id", *([] if sparse else payload))
+    hubs = (rows.groupBy("key").agg(F.min(side).alias("hub"), F.max("id").alias("hi")).where("hub.id < hi")
+            .select(F.col("key").alias("hub_key"), "hub"))
+    with_hub = rows.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key")
+    if sparse:
+        with_hub = staged(with_hub.distinct(), "buckets")
+        if prepare:
+            prepare(with_hub.select("id").distinct())
+    star = with_hub.where(F.col("id") != F.col("hub.id"))
+    if not sparse:
+        star = star.where(near(lambda c: F.col(c), lambda c: F.col(f"hub.{c}")))
+    star = staged(star.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+    label = staged(components(verify(star)), "labels")
 
-    with_label = (shared.join(label, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
-    open_keys = (with_label.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .where("lo < hi").select("key"))
-    rest = staged(with_label.join(open_keys, "key", "left_semi"), "open")
+    plain = items.select("id", *payload).dropDuplicates(["id"]) if sparse else items
+    named = (plain.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
+             .withColumn("comp", F.coalesce("comp", "id")))
+    if sparse:
+        rest = (with_hub.select(F.col("id").alias("of"), "key")
+                .join(named.select("id", "comp", *payload), F.col("of") == F.col("id")).drop("of"))
+    else:
+        rest = named.select("id", "comp", F.explode("keys").alias("key"), *payload)
     l, r = rest.alias("l"), rest.alias("r")
     cross = (l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
                     & near(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
@@ -92,4 +98,3 @@ def link_buckets(rows: DataFrame, payload: Sequence[str], near: Callable[[Callab
         return label
     tree = label.select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a <> b")
     return components(more.select("a", "b").unionByName(tree))
-
