@@ -23,7 +23,7 @@ from riskframe.llm.common import LOWER, RollingHash, checked_broadcast, flat, mi
 from riskframe.llm.components import link_buckets
 from riskframe.session import ship_package
 
-BAND_GROWTH = 1.25
+BAND_GROWTH = 1.5
 # A fixed sketch of so many 64-bit words compares two candidates before their sets are read.
 FOLD = 16
 _HASH = RollingHash(23)
@@ -62,6 +62,11 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, width: int) -> Iterator[tupl
                     yield i + r, np.zeros(0, np.uint64)
 
 
+def set_id(tokens: np.ndarray) -> np.uint64:
+    with np.errstate(over="ignore"):
+        return mix(np.array([tokens.sum() + np.uint64(len(tokens))], np.uint64))[0]
+
+
 def sketch(tokens: np.ndarray, blocks: int) -> np.ndarray:
     """Parity sketch: each token flips one of the ``64 * blocks`` bits."""
     bit = (tokens % np.uint64(blocks)).astype(np.int64) * 64 + (tokens >> np.uint64(58)).astype(np.int64)
@@ -104,8 +109,7 @@ def _signatures(width: int, num: int, den: int):
 
             size = 0
             for _, tokens in shingle_sets(data, off, width):
-                with np.errstate(over="ignore"):
-                    digest = mix(np.array([tokens.sum() + np.uint64(len(tokens))]))[0]
+                digest = set_id(tokens)
                 keys = block_keys(tokens, num, den) if len(tokens) else np.zeros(0, np.uint64)
                 rows.append((len(tokens), digest, keys, sketch(tokens >> np.uint64(3) ^ tokens << np.uint64(61), FOLD)))
                 size += len(keys)
@@ -123,15 +127,19 @@ def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = flat(batch.column("text"))
-            ids, sets = batch.column("id"), []
-            done = 0
+            ids, hubs = batch.column("id").to_pylist(), batch.column("hubs").to_pylist()
+            out: list[tuple] = []
+            size = 0
             for r, tokens in shingle_sets(data, off, width):
-                sets.append(tokens.view(np.int64))
-                if sum(map(len, sets[-50:])) > 1 << 17 or len(sets) == 500 or r == batch.num_rows - 1:
-                    at = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
-                    yield pa.RecordBatch.from_arrays([ids.slice(done, len(sets)), pa.ListArray.from_arrays(
-                        pa.array(at, pa.int32()), pa.array(np.concatenate(sets)))], names=["id", "tokens"])
-                    done, sets = r + 1, []
+                if int(set_id(tokens).view(np.int64)) == ids[r]:  # rows of one id may differ in text
+                    out.append((ids[r], hubs[r], tokens.view(np.int64)))
+                    size += len(tokens)
+                if out and (size > 1 << 17 or r == batch.num_rows - 1):
+                    at = np.concatenate(([0], np.cumsum([len(x[2]) for x in out])))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.list_(pa.int64())),
+                         pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([x[2] for x in out])))], names=["id", "hubs", "tokens"])
+                    out, size = [], 0
 
     return run
 
@@ -149,28 +157,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = "doc long, n long, id long, keys array<long>, " + ", ".join(f"{s} long" for s in folds)
     sigs = staged(texts.withColumnRenamed("doc", "id").mapInArrow(_signatures(width, num, den), kind), "sketches")
     full = sigs.where("n > 0")
-    sets: list[DataFrame] = []
-
-    def prepare(ids: DataFrame) -> None:
-        """Exact sets of the ids that share a key, from one document each."""
-        of = ids.withColumnRenamed("id", "of")
-        need = staged(full.groupBy("id").agg(F.min("doc").alias("doc")).where("doc is not null").join(of, F.col("id") == F.col("of"), "left_semi")
-                      .select(F.col("id").alias("set"), F.col("doc").alias("pick")), "need")
-        picked = texts.join(checked_broadcast(need, need.count()), F.col("doc") == F.col("pick"))
-        sets.append(staged(picked.select(F.col("set").alias("id"), "text").mapInArrow(_sets(width), "id long, tokens array<long>"), "sets"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = sets[0].select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-        two = sets[0].select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-        common = F.size(F.array_intersect("x", "y"))
-        return (pairs.join(one, "a").join(two, "b").withColumn("common", common)
-                .where(den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b").distinct())
+        """Exact sets, read from one document each: a hub's set goes once, a member's once per pair."""
+        at = pairs.select(F.col("b").alias("of"), F.col("a").alias("hub")).unionByName(pairs.select(F.col("a").alias("of"), F.col("a").alias("hub")))
+        need = staged(at.groupBy("of").agg(F.collect_set("hub").alias("hubs"))
+                      .join(full.groupBy("id").agg(F.min("doc").alias("pick")), F.col("of") == F.col("id")).select("id", "hubs", "pick"), "need")
+        sets = (texts.join(checked_broadcast(need, need.count()), F.col("doc").eqNullSafe(F.col("pick"))).select("id", "hubs", "text")
+                .mapInArrow(_sets(width), "id long, hubs array<long>, tokens array<long>"))
+        sets = staged(sets.select("id", F.explode("hubs").alias("hub"), "tokens"), "sets")
+        one = sets.where("id = hub").select("hub", F.col("tokens").alias("x"))
+        two = sets.where("id <> hub").select("hub", F.col("id").alias("b"), F.col("tokens").alias("y"))
+        both = two.join(one, "hub").withColumn("common", F.size(F.array_intersect("x", "y")))
+        return (both.where(den * F.col("common") >= num * (F.size("x") + F.size("y") - F.col("common")))
+                .select(F.col("hub").alias("a"), "b").distinct())
 
     def near(l, r):
         flips = sum((F.bit_count(l(s).bitwiseXOR(r(s))) for s in folds), F.lit(0))
         return flips * (den + num) <= (l("n") + r("n")) * (den - num)
 
-    label = link_buckets(full.select("id", "keys", "n", *folds), ["n", *folds], near, verify, sparse=True, prepare=prepare)
+    label = link_buckets(full.select("id", "keys", "n", *folds), ["n", *folds], near, verify, sparse=True)
     named = (full.select("doc", "n", "id").join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
              .select("doc", "n", F.coalesce("comp", "id").alias("comp")))
     low = named.groupBy(F.col("comp").alias("c")).agg(F.min("doc").alias("low"))
