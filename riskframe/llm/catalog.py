@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, jaccard, lines, mixing, pii, toxicity, warc
+from riskframe.llm import chat, decontam, jaccard, lines, mixing, pii, toxicity, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,10 +11,12 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
     "op8_private": pii.op8_private,
+    "op9_decontaminate": decontam.op9_decontaminate,
     "op10_line_dedup": lines.op10_line_dedup,
 }
 ORACLE = {
     "op1_mix_sources": mixing.oracle(),
     "op3_chat_format": chat.ORACLE,
     "op7_warc": warc.ORACLE,
+    "op9_decontaminate": decontam.ORACLE,
 }

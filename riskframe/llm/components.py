@@ -51,46 +51,54 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
 
 
 def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Callable, Callable], Column],
-                 verify: Callable[[DataFrame], DataFrame], *, sparse: bool = False,
-                 prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
+                 verify: Callable[[DataFrame], DataFrame], *, sparse: bool = False) -> DataFrame:
     """``(id, comp)`` of all linked items of ``items(id, keys array<long>, *payload)``, exactly.
 
     The graph: two items share a key, are ``near`` by their payloads and pass ``verify``.  Round one links each item
-    to the smallest item of its bucket, a star instead of all pairs.  A pair whose two items are then in one component
-    cannot change the result, so round two compares only items of different components, inside the
-    join, where only ``near`` pairs become rows.  Joins are on the key, which adaptive execution splits when it is hot.
+    of a bucket to one hub, a star instead of all pairs.  A pair whose two items are then in one component cannot change
+    the result, so round two compares only items of different components, inside the join, where only ``near``
+    pairs become rows.  Joins are on the key, which adaptive execution splits when it is hot.
 
-    ``verify`` gets distinct pairs (a, b) and returns the linked ones.  ``sparse``: most keys have one item; those
-    rows are dropped first, rows of ``items`` may repeat, and ``near`` is left to ``verify`` in round one.  ``prepare`` then gets the ids left.
+    ``verify`` gets distinct pairs (a, b) and returns the linked ones.  ``sparse``: most keys have one item, so those rows
+    are dropped first and every bucket gets a star from its smallest id; rows of ``items`` may repeat.  Otherwise most keys
+    are shared by chance and ids are distinct: stars use the more selective keys of a further column ``stars``, and a hub
+    is the item of the smallest payload (one column).
     """
-    rows = items.select("id", F.explode("keys").alias("key"), *([] if sparse else payload))
-    side = F.struct("id", *([] if sparse else payload))
-    hubs = (rows.groupBy("key").agg(F.min(side).alias("hub"), F.max("id").alias("hi")).where("hub.id < hi")
-            .select(F.col("key").alias("hub_key"), "hub"))
-    with_hub = rows.join(hubs, F.col("key") == F.col("hub_key")).drop("hub_key")
+    plain = items.select("id", *payload)
     if sparse:
-        with_hub = staged(with_hub.distinct(), "buckets")
-        if prepare:
-            prepare(with_hub.select("id").distinct())
-    star = with_hub.where(F.col("id") != F.col("hub.id"))
-    if not sparse:
-        star = star.where(near(lambda c: F.col(c), lambda c: F.col(f"hub.{c}")))
-    star = staged(star.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        rows = items.select("id", F.explode("keys").alias("key"))
+        hubs = (rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("id").alias("hub"), F.max("id").alias("hi")).where("hub < hi"))
+        rows = staged(rows.join(hubs, F.col("key") == F.col("hub_key")).select("key", "id", "hub").distinct(), "buckets")
+        plain = staged(plain.dropDuplicates(["id"]), "items")
+        star = rows.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        side = lambda at: plain.select(F.col("id").alias(at), F.struct(*payload).alias(f"of_{at}"))
+        star = (star.join(side("a"), "a").join(side("b"), "b")
+                .where(near(lambda c: F.col(f"of_a.{c}"), lambda c: F.col(f"of_b.{c}"))).select("a", "b"))
+    else:
+        (value,) = payload
+        rows = items.select("id", F.explode("stars").alias("key"), value)
+        hubs = (rows.groupBy(F.col("key").alias("hub_key")).agg(F.count("*").alias("c"), F.min(value).alias("hub_value"))
+                .where("c > 1").drop("c"))
+        heads = plain.groupBy(F.col(value).alias("hub_value")).agg(F.min("id").alias("hub"))
+        star = (rows.join(hubs, F.col("key") == F.col("hub_key"))
+                .where(near(lambda c: F.col(c), lambda c: F.col("hub_value"))).select("id", "hub_value").distinct()
+                .join(heads, "hub_value").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    star = staged(star, "pairs")
     label = staged(components(verify(star)), "labels")
 
-    plain = items.select("id", *payload).dropDuplicates(["id"]) if sparse else items
     named = (plain.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
              .withColumn("comp", F.coalesce("comp", "id")))
     if sparse:
-        rest = (with_hub.select(F.col("id").alias("of"), "key")
-                .join(named.select("id", "comp", *payload), F.col("of") == F.col("id")).drop("of"))
+        rest = rows.select(F.col("id").alias("of"), "key").join(named, F.col("of") == F.col("id")).drop("of")
     else:
-        rest = named.select("id", "comp", F.explode("keys").alias("key"), *payload)
+        rest = (items.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
+                .select("id", F.coalesce("comp", "id").alias("comp"), F.explode("keys").alias("key"), value))
     l, r = rest.alias("l"), rest.alias("r")
     cross = (l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
                     & near(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
              .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct())
-    cross = staged(cross.join(star, ["a", "b"], "left_anti"), "pairs")
+    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    cross = staged(cross.join(done, ["a", "b"], "left_anti"), "pairs")
     if cross.isEmpty():
         return label
     more = staged(verify(cross), "links")
