@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, decontam, jaccard, lines, mixing, pii, toxicity, warc
+from riskframe.llm import chat, decontam, embeddings, jaccard, lines, mixing, pii, toxicity, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_near_vectors": embeddings.op2_near_vectors,
     "op3_chat_format": chat.op3_chat_format,
     "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
     "op6_toxicity": toxicity.op6_toxicity,
