@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, decontam, embeddings, jaccard, lines, mixing, pii, toxicity, warc
+from riskframe.llm import chat, decontam, embeddings, jaccard, lines, mixing, pii, suffixes, toxicity, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_near_vectors": embeddings.op2_near_vectors,
     "op3_chat_format": chat.op3_chat_format,
+    "op4_suffix_dedup": suffixes.op4_suffix_dedup,
     "op5_ngram_jaccard": jaccard.op5_ngram_jaccard,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_warc": warc.op7_warc,
