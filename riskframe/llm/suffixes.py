@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import RollingHash, checked_broadcast, flat, mix, staged, steps, table
 from riskframe.session import ship_package
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM = 200, 88
 REACH = LENGTH - GRAM  # a window starts at most so far before its anchor
-HOT = 1000
-BATCH_BYTES = 1 << 19
+HOT = 5000
+BATCH_BYTES = 1 << 17
 _HASH = RollingHash(97)
 
 
@@ -94,7 +94,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_order(text: np.ndarray, need: np.ndarray, depth: int) -> np.ndarray:
     """Starts of the suffixes of ``text`` in order of their first ``depth`` values, in two stages.
 
-    ``text`` holds bytes plus one, a 0 after each chunk and one more 0 at the end.  ``need`` marks a set of starts that with a suffix larger than
+    ``text`` holds positive values, a 0 after each chunk and one more 0 at the end.  ``need`` marks a set of starts that with a suffix larger than
     its successor holds the successor too.  Suffixes smaller than their successor are sorted directly; then each bucket of a first
     value, lowest first, is scanned: a suffix in it induces the one that starts a place earlier, if that is larger.
     """
@@ -142,8 +142,10 @@ def repeated_starts(chunks: list[bytes], place: np.ndarray, many: np.ndarray) ->
     text = np.frombuffer(b"\0".join(chunks) + b"\0", np.uint8).astype(np.uint8)
     begin = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
     owner = np.repeat(np.arange(len(chunks)), size + 1)
-    wide = np.zeros(len(text) + 1, ">u2")
-    wide[:-1] = text.astype(np.uint16) + 1
+    # One byte a place where the text has no zero byte, else two; the separator is below all.
+    zeros = (text == 0).sum() > len(chunks)
+    wide = np.zeros(len(text) + 1, ">u2" if zeros else np.uint8)
+    wide[:-1] = text.astype(np.uint16) + 1 if zeros else text
     wide[(begin + size)] = 0
     n = len(wide)
     # Starts whose string lies in its chunk, and what induces them: up to the next suffix smaller than its successor.
