@@ -83,7 +83,8 @@ def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Calla
         star = (rows.join(hubs, F.col("key") == F.col("hub_key"))
                 .where(near(lambda c: F.col(c), lambda c: F.col("hub_value"))).select("id", "hub_value").distinct()
                 .join(heads, "hub_value").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    star = staged(star, "pairs")
+    # Members of a family meet several hubs, one per key: the smallest near one is enough, round two sees to the rest.
+    star = staged(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     label = staged(components(verify(star)), "labels")
 
     named = (plain.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")

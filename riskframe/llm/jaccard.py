@@ -165,7 +165,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       .join(full.groupBy("id").agg(F.min("doc").alias("pick")), F.col("of") == F.col("id")).select("id", "hubs", "pick"), "need")
         sets = (texts.join(checked_broadcast(need, need.count()), F.col("doc").eqNullSafe(F.col("pick"))).select("id", "hubs", "text")
                 .mapInArrow(_sets(width), "id long, hubs array<long>, tokens array<long>"))
-        sets = staged(sets.select("id", F.explode("hubs").alias("hub"), "tokens"), "sets")
+        # Staged once a document; the copies for its hubs are made after the scan.
+        sets = staged(sets, "sets").select("id", F.explode("hubs").alias("hub"), "tokens")
         one = sets.where("id = hub").select("hub", F.col("tokens").alias("x"))
         two = sets.where("id <> hub").select("hub", F.col("id").alias("b"), F.col("tokens").alias("y"))
         both = two.join(one, "hub").withColumn("common", F.size(F.array_intersect("x", "y")))
