@@ -149,7 +149,7 @@ SELECT model, round(fp / n_neg, {_R}) AS fpr, round(tp / n_pos, {_R}) AS tpr, ro
 UNION ALL SELECT DISTINCT model, 0.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM c""",
     "pr_points": _S + CURVE_CTE.format(src="scores") + f"""
 SELECT model, round(tp / (tp + fp), {_R}) AS precision, round(tp / n_pos, {_R}) AS recall, round(score, {_R}) AS threshold
-FROM c WHERE tp - pos < n_pos
+FROM c
 UNION ALL SELECT DISTINCT model, 1.0::DOUBLE, 0.0::DOUBLE, NULL::DOUBLE FROM c""",
     "class_report": _S + CONF_CTE.format(src="scores") + f"""
 , m AS (SELECT model, tp, fp, fn, tn, tp + fp + fn + tn AS n, tp + fn AS s1, tn + fp AS s0,

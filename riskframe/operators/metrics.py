@@ -245,10 +245,13 @@ def model_metrics(scores: DataFrame, by: Sequence[str] = ("model",), threshold:
 
 
 def roc_points(curve: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """(fpr, tpr, threshold) at every distinct score, plus the origin with a NULL threshold."""
+    """(fpr, tpr, threshold) at every distinct score, plus the origin with a NULL threshold.
+
+    A rate whose class is missing from a group is NULL.
+    """
     by = list(by)
-    pts = curve.select(*by, (F.col("fp") / F.col("n_neg")).alias("fpr"),
-                       (F.col("tp") / F.col("n_pos")).alias("tpr"),
+    pts = curve.select(*by, F.try_divide("fp", "n_neg").alias("fpr"),
+                       F.try_divide("tp", "n_pos").alias("tpr"),
                        F.col("score").cast("double").alias("threshold"))
     origin = curve.select(*by).distinct().select(*by, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
                                                  F.lit(None).cast("double").alias("threshold"))
@@ -256,11 +259,14 @@ def roc_points(curve: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
 
 
 def pr_points(curve: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """(precision, recall, threshold) up to the first threshold of full recall, plus (1, 0) end point."""
+    """(precision, recall, threshold) at every distinct score, plus the (1, 0) end point.
+
+    The recall of a group without positives is NULL.
+    """
     by = list(by)
-    tp, fp, pos = F.col("tp"), F.col("fp"), F.col("pos")
-    pts = curve.where(tp - pos < F.col("n_pos")).select(
-        *by, (tp / (tp + fp)).alias("precision"), (tp / F.col("n_pos")).alias("recall"),
+    tp, fp = F.col("tp"), F.col("fp")
+    pts = curve.select(
+        *by, (tp / (tp + fp)).alias("precision"), F.try_divide("tp", "n_pos").alias("recall"),
         F.col("score").cast("double").alias("threshold"))
     end = curve.select(*by).distinct().select(*by, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
                                               F.lit(None).cast("double").alias("threshold"))
