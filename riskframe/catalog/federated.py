@@ -35,6 +35,8 @@ FROM (
 """
 
 CLIENTS = ("w1", "w2", "w3")
+# Days that every month has: the rounds that all clients take part in.
+ROUNDS = 28
 
 
 def client_metrics(spark, sf_dir) -> DataFrame:
@@ -43,12 +45,14 @@ def client_metrics(spark, sf_dir) -> DataFrame:
 
 def params(spark, sf_dir) -> DataFrame:
     """Parameter vectors ``(round, client_id, layer, idx, value)`` from ``embeddings``: client = label
-    mod 3, round = order of vec_id inside the client, one layer holding the vector."""
+    mod 3; the vectors of a client in order of vec_id fill rounds 1..ROUNDS of layer 0, then of layer 1, and so on, so
+    every vector counts."""
     emb = read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", F.concat(F.lit("w"), (F.col("label") % 3 + 1).cast("string")).alias("client_id"))
-    # round = row_number() over (partition by client order by vec_id), without a task per client
-    return (ordered_row_number(emb, ["client_id"], "vec_id", "round")
-            .select("round", "client_id", F.lit(0).alias("layer"), F.posexplode("embedding").alias("idx", "v"))
+    # rn = row_number() over (partition by client order by vec_id), without a task per client
+    return (ordered_row_number(emb, ["client_id"], "vec_id", "rn")
+            .withColumn("round", ((F.col("rn") - 1) % ROUNDS + 1).cast("int")).withColumn("layer", F.expr(f"cast((rn - 1) div {ROUNDS} as int)"))
+            .select("round", "client_id", "layer", F.posexplode("embedding").alias("idx", "v"))
             .select("round", "client_id", "layer", "idx", F.col("v").cast("double").alias("value")))
 
 
@@ -119,7 +123,7 @@ _BASE = f"""WITH RECURSIVE txn_raw AS ({fx.duckdb_sql(fx.TXN_RAW_SQL)}),
 cm AS ({fx.duckdb_sql(CLIENT_METRICS_SQL)}),
 p0 AS (SELECT 'w' || CAST(label % 3 + 1 AS VARCHAR) AS client_id, vec_id, embedding,
          row_number() OVER (PARTITION BY label % 3 ORDER BY vec_id) AS rnd FROM embeddings),
-params AS (SELECT CAST(rnd AS INTEGER) AS round, client_id, 0 AS layer,
+params AS (SELECT CAST((rnd - 1) % {ROUNDS} + 1 AS INTEGER) AS round, client_id, CAST((rnd - 1) // {ROUNDS} AS INTEGER) AS layer,
              CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS idx, CAST(unnest(embedding) AS DOUBLE) AS value FROM p0),
 sc AS (SELECT round, client_id, greatest(f1, 1e-8{_D}) * (1.0{_D} + {FD.ALPHA_FRAUD!r}{_D} * fraud_ratio) AS score FROM cm),
 ri AS (SELECT *, dense_rank() OVER (ORDER BY round) AS ri FROM sc),

@@ -75,9 +75,15 @@ def test_log_loss_clips(spark):
     assert r["log_loss"] == pytest.approx(math.log(2) / 3 + 2 * (-math.log(1 - M.FLOAT32_EPS)) / 3, rel=1e-6)
 
 
-def test_pr_points_stop_at_full_recall(spark):
+def test_pr_points_keep_every_threshold(spark):
     curve = M.score_curve(_scores(spark, ROWS), ["model"])
     pts = M.pr_points(curve, ["model"]).collect()
     assert max(p["recall"] for p in pts) == 1.0
-    assert sum(1 for p in pts if p["recall"] == 1.0) == 1
+    assert len(pts) == curve.count() + 1
     assert any(p["threshold"] is None and p["precision"] == 1.0 and p["recall"] == 0.0 for p in pts)
+
+
+def test_points_of_one_class_group(spark):
+    curve = M.score_curve(_scores(spark, [(0, 0.1), (0, 0.4)]), ["model"])
+    assert [p["tpr"] for p in M.roc_points(curve, ["model"]).collect() if p["threshold"] is not None] == [None, None]
+    assert [p["recall"] for p in M.pr_points(curve, ["model"]).collect() if p["threshold"] is not None] == [None, None]
