@@ -47,13 +47,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is used as is.  Only when it is unset (a bare
-    local test session) do we pick a fresh scratch folder of our own.
+    local test session) do we pick a fresh scratch folder of our own; a cluster without it is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     path = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
             or (current.get() if current.isDefined() else None))
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     if current.isEmpty():
         sc.setCheckpointDir(path)
