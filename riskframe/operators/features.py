@@ -32,7 +32,7 @@ def label_value(df: DataFrame, target: str) -> Column:
 def sanitize_target(df: DataFrame, target: str) -> DataFrame:
     """Keep rows whose target reads as 0 or 1 and store it as int; error when the target is absent."""
     if target not in df.columns:
-        raise ValueError(f"Target column `{target}` not found. Available: {df.columns}")
+        raise ValueError(f"the table has no label column {target!r}, only {df.columns}")
     y = label_value(df, target)
     return df.where(y.isin(0.0, 1.0)).withColumn(target, y.cast("int"))
 

@@ -59,28 +59,23 @@ class Roles:
 
 def amount_balance_columns(schema: T.StructType, match: str = "substring") -> tuple[str, str]:
     """First ``amount`` column and first ``balance`` column; a clear error if either is absent."""
-    cols = schema.fieldNames()
-    amounts = columns_matching(cols, AMOUNT_KEYWORDS, match)
-    balances = columns_matching(cols, BALANCE_KEYWORDS, match)
-    numeric = [f.name for f in schema.fields if isinstance(f.dataType, T.NumericType)]
-    if not amounts:
-        raise ValueError(f"Could not detect amount column. Candidates by numeric dtype: {numeric}")
-    if not balances:
-        raise ValueError(f"Could not detect balance column. Candidates by numeric dtype: {numeric}")
-    return amounts[0], balances[0]
+    names = schema.fieldNames()
+    found = {role: next(iter(columns_matching(names, words, match)), None)
+             for role, words in (("amount", AMOUNT_KEYWORDS), ("balance", BALANCE_KEYWORDS))}
+    absent = [role for role, name in found.items() if name is None]
+    if absent:
+        raise ValueError(f"no column name stands for {' or '.join(absent)} in {names}")
+    return found["amount"], found["balance"]
 
 
 def identity_columns(columns: Sequence[str], target: str, preserve: Sequence[str] = (), match: str = "substring") -> list[str]:
     """P5: identifying columns to drop, sorted.  Never the target nor a preserved column."""
-    keep = set(preserve) | {target}
-    out = set()
-    for c in columns:
-        if c in keep:
-            continue
-        n = normalize_name(c)
-        if n.startswith("unnamed") or n in IDENTITY_EXPLICIT or columns_matching([c], IDENTITY_KEYWORDS, match):
-            out.add(c)
-    return sorted(out)
+
+    def identifies(name: str) -> bool:
+        plain = normalize_name(name)
+        return plain.startswith("unnamed") or plain in IDENTITY_EXPLICIT or bool(columns_matching([name], IDENTITY_KEYWORDS, match))
+
+    return sorted({c for c in set(columns) - {target, *preserve} if identifies(c)})
 
 
 def drop_identity(df: DataFrame, target: str, preserve: Sequence[str] = (), match: str = "substring") -> tuple[DataFrame, list[str]]:
@@ -173,7 +168,7 @@ def resolve_event_time(df: DataFrame, match: str = "substring") -> tuple[Column,
     """
     kind, cands = event_time_candidates(df, match)
     if not cands:
-        raise ValueError(f"Could not detect a datetime column. Candidates: {df.columns}")
+        raise ValueError(f"no column name stands for a date or time in {df.columns}")
     if kind == "date+time":
         (name, expr), (text_name, text_expr) = cands
         if parse_rates(df, [(name, expr)])[name] > PARSE_THRESHOLD:
@@ -183,7 +178,7 @@ def resolve_event_time(df: DataFrame, match: str = "substring") -> tuple[Column,
     for name, expr in cands:
         if rates[name] > PARSE_THRESHOLD:
             return expr, name
-    raise ValueError(f"Could not detect a datetime column. Candidates: {[n for n, _ in cands]}")
+    raise ValueError(f"none of the time rules applies: {[n for n, _ in cands]}")
 
 
 def date_like_columns(columns: Sequence[str], match: str = "substring") -> list[str]:

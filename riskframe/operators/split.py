@@ -118,7 +118,7 @@ def partition_clients(
         pos = list((shares or {}).get("pos", BANK_POSITIVE_SHARES))
         neg = list((shares or {}).get("neg", BANK_NEGATIVE_SHARES))
         if shares is None and n_clients != 3:
-            raise ValueError("bank_noniid with the default mix expects exactly 3 clients")
+            raise ValueError("the default label mix is given for three clients; pass pos and neg shares for others")
         if len(pos) != len(neg):
             raise ValueError("pos and neg shares need one entry per client")
         k = len(pos)
@@ -137,5 +137,5 @@ def partition_clients(
         parts = materialize(parts.withColumn("_h2", order_hash(row_id, seed, MIX_SEED_SALT)))
         out = _local_split(parts, "_h2", row_id, [], local_train_frac).drop("_h2")
     else:
-        raise ValueError("mode must be one of: iid, noniid, bank_noniid")
+        raise ValueError("unknown client mode: use iid, noniid or bank_noniid")
     return out.drop("_h")
