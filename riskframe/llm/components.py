@@ -90,7 +90,12 @@ def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Calla
     named = (plain.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
              .withColumn("comp", F.coalesce("comp", "id")))
     if sparse:
-        rest = rows.select(F.col("id").alias("of"), "key").join(named, F.col("of") == F.col("id")).drop("of")
+        # Keys that one component has to itself go before the payloads come in.
+        comps = named.select("id", "comp")
+        held = staged(rows.select("key", "id").join(comps, "id"), "held")
+        mixed = (held.groupBy(F.col("key").alias("mixed")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+                 .select("mixed"))
+        rest = held.join(mixed, F.col("key") == F.col("mixed"), "left_semi").join(named.drop("comp"), "id")
     else:
         rest = (items.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
                 .select("id", F.coalesce("comp", "id").alias("comp"), F.explode("keys").alias("key"), value))

@@ -3,8 +3,10 @@
 The tokens (word shingles) of a document flip bits of a sketch, so the Hamming distance of two sketches never exceeds the size of
 their symmetric difference.  Sets of Jaccard similarity t or more differ in at most d = (1 - t) / (1 + t) * (|A| + |B|)
 tokens; documents are grouped into bands of set size, and in a band with largest size m the sketch has
-d(m) + 1 blocks of 64 bits.  By the pigeonhole two similar documents agree in at least one block, so they meet on
-the key (band, block, its 64 bits).  Candidates are verified on the exact sets.
+b > d(m) blocks of 2^20 bits, each known by the XOR of the hashes of its set bits.  By the pigeonhole two similar documents agree
+in at least b - d(m) blocks and meet on the key (band, block, XOR).  Empty blocks agree by chance, so a document with fewer than
+b - d(m) of them leaves them out: a similar one then still shares a block with set bits.  Candidates are compared by fixed
+sketches, those of long documents also by sketches that grow with the set, and verified on the exact sets.
 
 Documents of equal sets collapse first; a set is known by a 64-bit hash of its members and its size.
 """
@@ -26,6 +28,9 @@ from riskframe.session import ship_package
 BAND_GROWTH = 1.5
 # A fixed sketch of so many 64-bit words compares two candidates before their sets are read.
 FOLD = 16
+# Sets above this size saturate it and get a second sketch of about one bit per token.
+LONG_SET = 1500
+BLOCK_BITS = 20
 _HASH = RollingHash(23)
 
 
@@ -67,26 +72,50 @@ def set_id(tokens: np.ndarray) -> np.uint64:
         return mix(np.array([tokens.sum() + np.uint64(len(tokens))], np.uint64))[0]
 
 
-def sketch(tokens: np.ndarray, blocks: int) -> np.ndarray:
-    """Parity sketch: each token flips one of the ``64 * blocks`` bits."""
-    bit = (tokens % np.uint64(blocks)).astype(np.int64) * 64 + (tokens >> np.uint64(58)).astype(np.int64)
-    odd = np.bincount(bit, minlength=64 * blocks).astype(np.uint8) & 1
+def sketch(tokens: np.ndarray, words: int) -> np.ndarray:
+    """Parity sketch of ``64 * words`` bits: each token flips one of them.  With powers of two the upper half of a sketch
+    XORed onto its lower half is the sketch of half the size."""
+    bit = (tokens % np.uint64(64 * words)).astype(np.int64)
+    odd = np.bincount(bit, minlength=64 * words).astype(np.uint8) & 1
     return np.packbits(odd).view(">u8").astype(np.uint64)
 
 
+def long_sketch(tokens: np.ndarray) -> np.ndarray:
+    """Sketch of a long set, a power of two of words; empty for others, which the fixed sketch tells apart."""
+    if len(tokens) <= LONG_SET:
+        return np.zeros(0, np.uint64)
+    return sketch(tokens >> np.uint64(3) ^ tokens << np.uint64(61), 1 << int(len(tokens) - 1).bit_length() - 6)
+
+
+@cache
+def blocks_of(band: int, num: int, den: int) -> tuple[int, int]:
+    """(largest difference d of two similar sets of the band, number of blocks): d + 1 and as many as its smallest
+    sets are likely to leave empty."""
+    smallest, largest = -(-int(band_starts()[band]) * num // den), int(band_starts()[band + 1]) - 1
+    d = 2 * largest * (den - num) // (den + num)
+    b = d + 1
+    for _ in range(30):
+        b = min(d + 1 + int(1.1 * b * np.exp(-smallest / b)), 2 * d + 1)
+    return d, b
+
+
 def block_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
     """Keys of a set for similarity num / den: one per block of its own band, and of each higher band it could reach into."""
     n, starts = len(tokens), band_starts()
     own = int(np.searchsorted(starts, n, side="right")) - 1
+    bits = mix(tokens >> np.uint64(64 - BLOCK_BITS))
     out = []
     band = own
     while band == own or starts[band] * num <= n * den:
-        largest = int(starts[band + 1]) - 1
-        d = 2 * largest * (den - num) // (den + num)
+        d, b = blocks_of(band, num, den)
         if d:  # else only equal sets are similar enough
-            block = sketch(tokens, d + 1)
+            at = (tokens % np.uint64(b)).astype(np.int64)
+            block = np.zeros(b, np.uint64)
+            np.bitwise_xor.at(block, at, bits)
             with np.errstate(over="ignore"):
-                out.append(mix(mix(block + np.uint64(band << 32)) + np.arange(d + 1, dtype=np.uint64)))
+                keys = mix(mix(block + np.uint64(band << 32)) + np.arange(b, dtype=np.uint64))
+            empty = block == 0
+            out.append(keys[~empty] if np.count_nonzero(empty) < b - d else keys)
         band += 1
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -102,17 +131,20 @@ def _signatures(width: int, num: int, den: int):
                 at = np.concatenate(([0], np.cumsum([len(r[2]) for r in rows])))
                 keys = np.concatenate([r[2] for r in rows]).view(np.int64)
                 folds = np.array([r[3] for r in rows]).view(np.int64)
+                far = np.concatenate(([0], np.cumsum([len(r[4]) for r in rows])))
+                wide = np.concatenate([r[4] for r in rows]).view(np.int64)
                 return pa.RecordBatch.from_arrays(
                     [part, pa.array([r[0] for r in rows], pa.int64()), pa.array(np.array([r[1] for r in rows], np.uint64).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys)), *(pa.array(folds[:, k]) for k in range(FOLD))],
-                    names=["doc", "n", "id", "keys", *(f"s{k}" for k in range(FOLD))])
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(keys)),
+                     pa.ListArray.from_arrays(pa.array(far, pa.int32()), pa.array(wide)), *(pa.array(folds[:, k]) for k in range(FOLD))],
+                    names=["doc", "n", "id", "keys", "wide", *(f"s{k}" for k in range(FOLD))])
 
             size = 0
             for _, tokens in shingle_sets(data, off, width):
                 digest = set_id(tokens)
                 keys = block_keys(tokens, num, den) if len(tokens) else np.zeros(0, np.uint64)
-                rows.append((len(tokens), digest, keys, sketch(tokens >> np.uint64(3) ^ tokens << np.uint64(61), FOLD)))
-                size += len(keys)
+                rows.append((len(tokens), digest, keys, sketch(tokens >> np.uint64(3) ^ tokens << np.uint64(61), FOLD), long_sketch(tokens)))
+                size += len(keys) + len(rows[-1][4])
                 if len(rows) == 500 or size > 1 << 18:
                     yield give()
                     done += len(rows)
@@ -123,6 +155,12 @@ def _signatures(width: int, num: int, den: int):
     return run
 
 
+def _folded(x: str, other: str) -> str:
+    """SQL: sketch ``x``, folded once if it is longer than ``other`` (sizes of similar sets are at most one power of two apart)."""
+    half = f"cast(size({x}) / 2 as int)"
+    return f"if(size({x}) > size({other}), zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (p, q) -> p ^ q), {x})"
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,15 +192,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     folds = [f"s{k}" for k in range(FOLD)]
-    kind = "doc long, n long, id long, keys array<long>, " + ", ".join(f"{s} long" for s in folds)
+    kind = "doc long, n long, id long, keys array<long>, wide array<long>, " + ", ".join(f"{s} long" for s in folds)
     sigs = staged(texts.withColumnRenamed("doc", "id").mapInArrow(_signatures(width, num, den), kind), "sketches")
     full = sigs.where("n > 0")
+    # Copies collapse before their keys are counted: one document stands for each set.
+    pick = staged(full.groupBy(F.col("id").alias("of")).agg(F.min("doc").alias("pick")), "picks")
+    one_each = full.join(checked_broadcast(pick, pick.count()), (F.col("id") == F.col("of")) & F.col("doc").eqNullSafe(F.col("pick")))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs whose long sketches, if they have any, do not rule them out; the longer is folded to the shorter's size."""
+        side = lambda at: (one_each.where(F.size("wide") > 0).dropDuplicates(["id"])
+                           .select(F.col("id").alias(at), F.struct("n", "wide").alias(f"of_{at}")))
+        return (pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+                .withColumns({"x": F.expr(_folded("of_a.wide", "of_b.wide")), "y": F.expr(_folded("of_b.wide", "of_a.wide"))})
+                .where(F.expr(f"""x is null or y is null or size(x) <> size(y) or aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0,
+                    (s, v) -> s + v) * {den + num} <= (of_a.n + of_b.n) * {den - num}""")).select("a", "b"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         """Exact sets, read from one document each: a hub's set goes once, a member's once per pair."""
+        pairs = staged(close(pairs), "close")
         at = pairs.select(F.col("b").alias("of"), F.col("a").alias("hub")).unionByName(pairs.select(F.col("a").alias("of"), F.col("a").alias("hub")))
         need = staged(at.groupBy("of").agg(F.collect_set("hub").alias("hubs"))
-                      .join(full.groupBy("id").agg(F.min("doc").alias("pick")), F.col("of") == F.col("id")).select("id", "hubs", "pick"), "need")
+                      .join(pick, "of").select(F.col("of").alias("id"), "hubs", "pick"), "need")
         sets = (texts.join(checked_broadcast(need, need.count()), F.col("doc").eqNullSafe(F.col("pick"))).select("id", "hubs", "text")
                 .mapInArrow(_sets(width), "id long, hubs array<long>, tokens array<long>"))
         # Staged once a document; the copies for its hubs are made after the scan.
@@ -177,7 +228,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         flips = sum((F.bit_count(l(s).bitwiseXOR(r(s))) for s in folds), F.lit(0))
         return flips * (den + num) <= (l("n") + r("n")) * (den - num)
 
-    label = link_buckets(full.select("id", "keys", "n", *folds), ["n", *folds], near, verify, sparse=True)
+    label = link_buckets(one_each.select("id", "keys", "n", *folds), ["n", *folds], near, verify, sparse=True)
     named = (full.select("doc", "n", "id").join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
              .select("doc", "n", F.coalesce("comp", "id").alias("comp")))
     low = named.groupBy(F.col("comp").alias("c")).agg(F.min("doc").alias("low"))
