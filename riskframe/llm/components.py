@@ -67,8 +67,11 @@ def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Calla
     plain = items.select("id", *payload)
     if sparse:
         rows = items.select("id", F.explode("keys").alias("key"))
-        hubs = (rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("id").alias("hub"), F.max("id").alias("hi")).where("hub < hi"))
-        rows = staged(rows.join(hubs, F.col("key") == F.col("hub_key")).select("key", "id", "hub").distinct(), "buckets")
+        # Most keys have one item: counting moves the key alone, and hubs are found among the others.
+        shared = rows.groupBy(F.col("key").alias("shared")).agg(F.count("*").alias("c")).where("c > 1").select("shared")
+        rows = staged(rows.join(shared, F.col("key") == F.col("shared"), "left_semi").distinct(), "shared")
+        hubs = rows.groupBy(F.col("key").alias("hub_key")).agg(F.min("id").alias("hub"), F.max("id").alias("hi")).where("hub < hi")
+        rows = staged(rows.join(hubs, F.col("key") == F.col("hub_key")).select("key", "id", "hub"), "buckets")
         plain = staged(plain.dropDuplicates(["id"]), "items")
         star = rows.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
         side = lambda at: plain.select(F.col("id").alias(at), F.struct(*payload).alias(f"of_{at}"))

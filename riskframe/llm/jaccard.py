@@ -195,9 +195,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = "doc long, n long, id long, keys array<long>, wide array<long>, " + ", ".join(f"{s} long" for s in folds)
     sigs = staged(texts.withColumnRenamed("doc", "id").mapInArrow(_signatures(width, num, den), kind), "sketches")
     full = sigs.where("n > 0")
-    # Copies collapse before their keys are counted: one document stands for each set.
-    pick = staged(full.groupBy(F.col("id").alias("of")).agg(F.min("doc").alias("pick")), "picks")
-    one_each = full.join(checked_broadcast(pick, pick.count()), (F.col("id") == F.col("of")) & F.col("doc").eqNullSafe(F.col("pick")))
+    # Copies collapse before their keys are counted: one document stands for each set.  Only sets with copies are joined, so that
+    # most rows meet a small table.
+    pick = full.groupBy(F.col("id").alias("of")).agg(F.min("doc").alias("pick"), F.count("*").alias("c"))
+    pick = staged(pick, "picks")
+    copied = pick.where("c > 1").drop("c")
+    one_each = (full.join(checked_broadcast(copied, copied.count()), F.col("id") == F.col("of"), "left")
+                .where(F.col("of").isNull() | F.col("doc").eqNullSafe(F.col("pick"))).drop("of", "pick"))
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs whose long sketches, if they have any, do not rule them out; the longer is folded to the shorter's size."""
