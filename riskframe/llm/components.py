@@ -103,15 +103,26 @@ def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Calla
         rest = (items.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
                 .select("id", F.coalesce("comp", "id").alias("comp"), F.explode("keys").alias("key"), value))
     l, r = rest.alias("l"), rest.alias("r")
+    a_first = F.col("l.id") < F.col("r.id")
+    pick = lambda c: [F.when(a_first, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")), F.when(a_first, F.col(f"r.{c}")).otherwise(F.col(f"l.{c}"))]
+    ends, sides = pick("id"), pick("comp")
     cross = (l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.comp") < F.col("r.comp"))
                     & near(lambda c: F.col(f"l.{c}"), lambda c: F.col(f"r.{c}")))
-             .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct())
+             .select(ends[0].alias("a"), ends[1].alias("b"), sides[0].alias("ca"), sides[1].alias("cb")).distinct())
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = staged(cross.join(done, ["a", "b"], "left_anti"), "pairs")
-    if cross.isEmpty():
-        return label
-    more = staged(verify(cross), "links")
-    if more.isEmpty():
-        return label
-    tree = label.select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a <> b")
-    return components(more.select("a", "b").unionByName(tree))
+    # One pair for each two components first: where it holds, all their other pairs are settled.  Then the pairs that are left.
+    for last in (False, False, True):
+        if cross.isEmpty():
+            return label
+        tried = cross if last else staged(cross.groupBy(F.least("ca", "cb").alias("p"), F.greatest("ca", "cb").alias("q"))
+                                          .agg(F.min(F.struct("a", "b")).alias("x")).select("x.a", "x.b"), "first-pairs")
+        more = staged(verify(tried.select("a", "b")), "links")
+        if not more.isEmpty():
+            tree = label.select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a <> b")
+            label = components(more.select("a", "b").unionByName(tree))
+        if not last:
+            now = lambda at: label.select(F.col("id").alias(at), F.col("comp").alias(f"now_{at}"))
+            cross = staged(cross.join(tried, ["a", "b"], "left_anti").join(now("a"), "a", "left").join(now("b"), "b", "left")
+                           .select("a", "b", F.coalesce("now_a", "a").alias("ca"), F.coalesce("now_b", "b").alias("cb")).where("ca <> cb"), "pairs")
+    return label
