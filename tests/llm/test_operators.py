@@ -170,3 +170,30 @@ def test_odd_rows(spark):
         assert f(odd(spark)).count() == len(ODD) and f(odd(spark, 0)).count() == 0
     assert mixing.mix_sources(odd(spark, 0), "doc_id", "source", mixing.n_words(F.col("text"))).count() == 0
     assert decontam.decontaminate(odd(spark, 0), items).count() == 0
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_similar_sets_share_a_block(num):
+    rng = np.random.default_rng(num)
+    for n in [*range(1, 40), 100, 333, 1000, 3000, 9000]:
+        for _ in range(3):
+            whole = rng.integers(0, 2**64, n, dtype=np.uint64)
+            gone = n * (100 - num) // 100
+            a, b = np.unique(whole), np.unique(whole[gone:])  # the largest difference that still links
+            if len(b) < len(a):
+                assert np.intersect1d(jaccard.block_keys(a, num, 100), jaccard.block_keys(b, num, 100)).size
+            half = gone // 2
+            c = np.unique(np.concatenate((whole[half:], rng.integers(0, 2**64, half, dtype=np.uint64))))
+            if half and 100 * len(np.intersect1d(a, c)) >= num * len(np.union1d(a, c)):
+                assert np.intersect1d(jaccard.block_keys(a, num, 100), jaccard.block_keys(c, num, 100)).size
+
+
+def test_long_sketch_folds_and_bounds_the_difference():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**64, 2100, dtype=np.uint64)
+    b = a[200:]  # sketches of 4096 and 2048 bits
+    x, y = jaccard.long_sketch(a), jaccard.long_sketch(b)
+    assert len(x) == 2 * len(y) == 64
+    folded = x[:32] ^ x[32:]
+    assert np.bitwise_count(folded ^ y).sum() <= 200
+    assert len(jaccard.long_sketch(a[:1500])) == 0
