@@ -92,14 +92,15 @@ class CalibratedSVM:
 
 def fit_svm_calibrated(train: DataFrame, features: str = "features", label: str = "label",
                        row_id: str = "row_id", folds: int = CALIBRATION_FOLDS) -> CalibratedSVM:
-    w = with_class_weights(train, label).withColumn(label, F.col(label).cast("double"))
-    w = w.withColumn("_fold", F.pmod(order_hash(row_id, SEED, "fold"), F.lit(folds)))
-    n = train.count()
+    """Weights and C = 1 (``regParam = 1 / sum(weights)``) are those of the rows that a fold fits on."""
+    dealt = train.withColumn("_fold", F.pmod(order_hash(row_id, SEED, "fold"), F.lit(folds)))
     pairs = []
     for k in range(folds):
-        fit_part, cal_part = w.where(F.col("_fold") != k), w.where(F.col("_fold") == k)
-        svm = LinearSVC(featuresCol=features, labelCol=label, weightCol="weight", regParam=1.0 / max(n, 1),
-                        maxIter=100).fit(fit_part)
+        fit_part = with_class_weights(dealt.where(F.col("_fold") != k), label).withColumn(label, F.col(label).cast("double"))
+        cal_part = dealt.where(F.col("_fold") == k).withColumn(label, F.col(label).cast("double"))
+        total = fit_part.agg(F.sum("weight").alias("w")).first()["w"]
+        svm = LinearSVC(featuresCol=features, labelCol=label, weightCol="weight", regParam=1.0 / (total or 1.0),
+                        maxIter=100, standardization=False).fit(fit_part)
         margin = svm.transform(cal_part).withColumn("_m", vector_to_array("rawPrediction")[1])
         margin = VectorAssembler(inputCols=["_m"], outputCol="_mv").transform(margin)
         platt = LogisticRegression(featuresCol="_mv", labelCol=label, maxIter=100, predictionCol="_pp",
