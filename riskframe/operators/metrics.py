@@ -25,6 +25,16 @@ FLOAT32_EPS = 1.1920928955078125e-07  # log loss clip of float32 scores
 BCE_LOG_FLOOR = -100.0
 
 
+def join_groups(left: DataFrame, small: DataFrame, by: Sequence[str], *, few: bool, how: str = "inner") -> DataFrame:
+    """Join on group columns in which NULL is a group like any other; ``small`` is broadcast only where it is ``few``."""
+    names = {c: f"_of_{c}" for c in by}
+    right = small.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c, of in names.items():
+        cond = cond & F.col(c).eqNullSafe(F.col(of))
+    return left.join(F.broadcast(right) if few else right, cond, how).drop(*names.values())
+
+
 def _safe_div(num: Column, den: Column) -> Column:
     """``num / den``, 0 when the denominator is 0 (the ``zero_division=0`` rule)."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
@@ -59,7 +69,7 @@ def client_balance(df: DataFrame, by: Sequence[str] = ("client_id",), label: str
 
 
 def balanced_weights(df: DataFrame, label: str = "label", by: Sequence[str] = (), out: str = "weight") -> DataFrame:
-    """A4: ``weight = n / (n_classes * n_class)`` attached to each row (class counts broadcast; 2 rows per group)."""
+    """A4: ``weight = n / (n_classes * n_class)`` attached to each row (class counts, 2 rows per group; broadcast where counted few)."""
     by = list(by)
     counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_nc"))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
@@ -67,7 +77,9 @@ def balanced_weights(df: DataFrame, label: str = "label", by: Sequence[str] = ()
         *by, label,
         (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(out),
     )
-    return df.join(F.broadcast(counts), [*by, label])
+    # Without groups there is one row per class.
+    few = not by or counts.count() <= BROADCAST_ROWS
+    return join_groups(df, counts, [*by, label], few=few)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -169,7 +181,7 @@ def score_curve(scores: DataFrame, by: Sequence[str] = ("model",), score: str =
         lit_cuts = F.array(*[F.lit(float(v)) for v in arr]).cast("array<double>")
         bucketed = distinct.withColumn("_b", count_below(lit_cuts, F.col(score).cast("double"), steps))
     else:
-        bucketed = distinct.join(F.broadcast(cuts) if n_groups * buckets <= BROADCAST_ROWS else cuts, by) \
+        bucketed = join_groups(distinct, cuts, by, few=n_groups * buckets <= BROADCAST_ROWS) \
             .withColumn("_b", count_below(F.col("_cuts"), F.col(score), steps)).drop("_cuts")
 
     totals = bucketed.groupBy(*by, "_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
@@ -184,7 +196,7 @@ def score_curve(scores: DataFrame, by: Sequence[str] = ("model",), score: str =
     )
     n_off = offsets.persist().count()
     inside = Window.partitionBy(*by, "_b").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    joined = bucketed.join(F.broadcast(offsets) if n_off <= BROADCAST_ROWS else offsets, [*by, "_b"])
+    joined = join_groups(bucketed, offsets, [*by, "_b"], few=n_off <= BROADCAST_ROWS)
     return joined.select(
         *by, score, "pos", "neg",
         (F.sum("pos").over(inside) + F.col("_op")).cast("bigint").alias("tp"),

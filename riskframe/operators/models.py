@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.hashing import order_hash
-from riskframe.operators.metrics import balanced_weights
+from riskframe.operators.metrics import BROADCAST_ROWS, balanced_weights, join_groups
 
 SEED = 42
 
@@ -137,31 +137,36 @@ def blend_name(a: str, b: str, wa: float, wb: float) -> str:
 
 
 def blend_scores(scores: DataFrame, blends=BLENDS, keys: Sequence[str] = ("row_id", "label")) -> DataFrame:
-    """M7 + J1 on a long score table: pivot each row's member scores side by side (one shuffle on the
-    row key), then ``wa * a + wb * b``.  A blend with a missing member model is skipped."""
+    """M7 + J1 on a long score table: each row's member scores side by side (one shuffle on the row
+    key), then ``wa * a + wb * b``.  A blend with a missing member model is skipped.
+
+    Rows that repeat a key (rows equal in every column, without a key column) keep a row each: the blend has the rows of its first
+    member, each with the mean score that its key has from either model.  A NULL or missing member score gives a NULL blend.
+    """
     keys = list(keys)
     present = {r["model"] for r in scores.select("model").distinct().collect()}
     todo = [(a, b, wa, wb) for a, b, wa, wb in blends if a in present and b in present]
     if not todo:
         return scores.limit(0)
     members = sorted({m for a, b, _, _ in todo for m in (a, b)})
-    wide = scores.where(F.col("model").isin(members)).groupBy(*keys).pivot("model", members).agg(F.first("score"))
-    outs = [wide.select(*keys, F.lit(blend_name(a, b, wa, wb)).alias("model"),
-                        (F.lit(float(wa)) * F.col(f"`{a}`") + F.lit(float(wb)) * F.col(f"`{b}`")).alias("score"))
-            for a, b, wa, wb in todo]
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out.where(F.col("score").isNotNull())
+    wide = scores.where(F.col("model").isin(members)).groupBy(*keys).pivot("model", members).agg(F.avg("score"))
+    base = scores.where(F.col("model").isin([a for a, _, _, _ in todo])).select(*keys, F.col("model").alias("_first"))
+    blended = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(blend_name(a, b, wa, wb)).alias("model"),
+                                 (F.lit(float(wa)) * F.col(f"`{a}`") + F.lit(float(wb)) * F.col(f"`{b}`")).alias("score"))
+                        for a, b, wa, wb in todo])
+    rows = join_groups(base, wide, keys, few=False).withColumn("_blends", F.filter(blended, lambda x: x["first"] == F.col("_first")))
+    return rows.select(*keys, F.inline("_blends")).drop("first")
 
 
 def linear_scores(rows: DataFrame, features_long: DataFrame, coefficients: DataFrame, intercept: float,
                   keys: Sequence[str] = ("row_id",)) -> DataFrame:
     """M8: score ``rows`` whose features are given long as ``(keys..., pos, value)`` with a coefficient
-    table ``(pos, coef)`` (broadcast: one row per feature) -> ``(keys..., score)`` = sigmoid(x . w + b).
-    Rows without non-zero features score sigmoid(b)."""
+    table ``(pos, coef)`` (one row per feature, broadcast where counted few) -> ``(keys..., score)`` = sigmoid(x . w + b).
+    Rows without non-zero features score sigmoid(b); equal rows under one key keep a row each, their sum shared by their number."""
     keys = list(keys)
-    z = (features_long.join(F.broadcast(coefficients), "pos")
+    few = coefficients.count() <= BROADCAST_ROWS
+    z = (features_long.join(F.broadcast(coefficients) if few else coefficients, "pos")
          .groupBy(*keys).agg(F.sum(F.col("value") * F.col("coef")).alias("_z")))
-    out = rows.select(*keys).join(z, keys, "left")
-    return out.select(*keys, sigmoid(F.coalesce(F.col("_z"), F.lit(0.0)) + F.lit(float(intercept))).alias("score"))
+    same = join_groups(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_same")), z, keys, few=False, how="left")
+    out = join_groups(rows.select(*keys), same, keys, few=False)
+    return out.select(*keys, sigmoid(F.coalesce(F.col("_z") / F.col("_same"), F.lit(0.0)) + F.lit(float(intercept))).alias("score"))

@@ -163,17 +163,12 @@ def parse_rates(df: DataFrame, candidates: list[tuple[str, Column]]) -> dict[str
 def resolve_event_time(df: DataFrame, match: str = "substring") -> tuple[Column, str]:
     """The event timestamp expression and the rule that produced it.
 
-    Date and time columns: date + time of day if more than half the rows parse, else the joined text.
-    Otherwise the first date-time / date / time candidate with more than half the rows parsing.
+    Date and time columns: date + time of day if more than half the rows parse, else the joined text by the same test.
+    Otherwise the first date-time / date / time candidate with more than half the rows parsing.  Raises where none is.
     """
-    kind, cands = event_time_candidates(df, match)
+    _, cands = event_time_candidates(df, match)
     if not cands:
         raise ValueError(f"no column name stands for a date or time in {df.columns}")
-    if kind == "date+time":
-        (name, expr), (text_name, text_expr) = cands
-        if parse_rates(df, [(name, expr)])[name] > PARSE_THRESHOLD:
-            return expr, name
-        return text_expr, text_name
     rates = parse_rates(df, cands)
     for name, expr in cands:
         if rates[name] > PARSE_THRESHOLD:
