@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir
@@ -36,6 +36,11 @@ def staged(df: DataFrame, what: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(*cols: str) -> Column:
+    """Hash of a row's own values, null being a value: a key where ids are null or repeat."""
+    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols])
+
+
 def checked_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only for a table whose counted ``rows`` stay below ``limit``; else a plain shuffle join."""
     return F.broadcast(df) if rows <= limit else df
