@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import chat, decontam, embeddings, jaccard, lines, mixing, pii, suffixes, toxicity, warc
+from riskframe.llm import chat, decontam, embeddings, jaccard, lines, mixing, phrases, pii, quality, suffixes, toxicity, warc, whitening
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,10 +15,14 @@ QUERIES = {
     "op8_private": pii.op8_private,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_line_dedup": lines.op10_line_dedup,
+    "op11_quality": quality.op11_quality,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_phrases": phrases.op13_phrases,
 }
 ORACLE = {
     "op1_mix_sources": mixing.oracle(),
     "op3_chat_format": chat.ORACLE,
     "op7_warc": warc.ORACLE,
     "op9_decontaminate": decontam.ORACLE,
+    "op13_phrases": phrases.ORACLE,
 }
