@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.catalog.prep import txn_model, txn_split
 from riskframe.catalog.sqlparts import R6, SPLIT_CTE, TXN_MODEL_CTE, with_ctes
 from riskframe.operators.roles import feature_column_kinds
-from riskframe.operators.prep import column_means_scales, column_modes, exact_medians, fit_prep, nonzero_long
+from riskframe.operators.prep import column_means_scales, column_modes, exact_medians, fit_prep
 
 # The txn model table's column kinds (P10 resolves them from the schema; the oracle
 # SQL needs them spelled out).
@@ -51,30 +51,22 @@ def q_impute_mode(spark, sf_dir):
 
 
 def q_feature_names(spark, sf_dir):
-    _, prep = fitted(spark, sf_dir)
-    names = prep.feature_names
-    return spark.createDataFrame(list(enumerate(names)), "pos int, feature string")
+    """Names by position, from the dictionary table."""
+    return fitted(spark, sf_dir)[1].names()
 
 
 def q_one_hot_long(spark, sf_dir):
     """T4 on every split: one row per (row, categorical column) whose value is a train category."""
     split, prep = fitted(spark, sf_dir)
-    d = prep.encoder.transform(prep.impute_scale(split))
-    out = None
-    for c in prep.categorical:
-        labels = prep.categories[c]
-        part = (d.where(F.col(f"_i_{c}") < len(labels))
-                .select("row_id", F.concat(F.lit(f"cat__{c}_"), F.col(f"_c_{c}")).alias("feature")))
-        out = part if out is None else out.unionByName(part)
-    return out
+    d = prep.with_dictionary(prep.impute_scale(split))
+    names = F.array(*[F.when(F.col(f"_i_{c}").isNotNull(), F.concat(F.lit(f"cat__{c}_"), F.col(f"_c_{c}"))) for c in prep.categorical])
+    return d.select("row_id", F.explode(F.filter(names, lambda x: x.isNotNull())).alias("feature"))
 
 
 def q_prep_vectors(spark, sf_dir):
-    """T1-T5 end to end: non-zero entries of every row's feature vector, train-fitted."""
+    """T1-T5 end to end: non-zero entries of every row's features, train-fitted."""
     split, prep = fitted(spark, sf_dir)
-    v = prep.transform(split)
-    return nonzero_long(v, "features", ["row_id", "split"]).select(
-        "row_id", "split", F.col("pos").cast("int").alias("pos"), F.round("value", R6).alias("value"))
+    return prep.entries(split, ["row_id", "split"]).withColumn("value", F.round("value", R6))
 
 
 QUERIES = {

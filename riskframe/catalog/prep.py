@@ -12,7 +12,6 @@ from riskframe.operators.metrics import class_ratio
 from riskframe.operators.roles import event_time_candidates
 from riskframe.operators.split import partition_clients, stratified_split, subsample
 from riskframe.plans.preprocess import build_model_table, with_row_id
-from riskframe.session import materialize
 from riskframe.sources import fixtures as fx
 from riskframe.sources.fixtures import LINEITEM_TXN_SQL, duckdb_sql
 
@@ -24,8 +23,8 @@ def txn_model(spark: SparkSession, sf_dir: str):
 
 
 def txn_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The split model table, checkpointed: it feeds statistics, partitions and training."""
-    return materialize(stratified_split(txn_model(spark, sf_dir).df))
+    """The split model table; the split stores its rows in the checkpoint folder, so later passes start there."""
+    return stratified_split(txn_model(spark, sf_dir).df)
 
 
 def _r(c: str) -> F.Column:

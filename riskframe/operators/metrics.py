@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.operators.rank import count_below
+from riskframe.operators.rank import count_below, join_groups
 
 CURVE_BUCKETS = 1024
 CURVE_ACCURACY = 20_000
@@ -25,16 +25,6 @@ FLOAT32_EPS = 1.1920928955078125e-07  # log loss clip of float32 scores
 BCE_LOG_FLOOR = -100.0
 
 
-def join_groups(left: DataFrame, small: DataFrame, by: Sequence[str], *, few: bool, how: str = "inner") -> DataFrame:
-    """Join on group columns in which NULL is a group like any other; ``small`` is broadcast only where it is ``few``."""
-    names = {c: f"_of_{c}" for c in by}
-    right = small.withColumnsRenamed(names)
-    cond = F.lit(True)
-    for c, of in names.items():
-        cond = cond & F.col(c).eqNullSafe(F.col(of))
-    return left.join(F.broadcast(right) if few else right, cond, how).drop(*names.values())
-
-
 def _safe_div(num: Column, den: Column) -> Column:
     """``num / den``, 0 when the denominator is 0 (the ``zero_division=0`` rule)."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))

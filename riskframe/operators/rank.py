@@ -2,20 +2,17 @@
 
 Splits, client partitions and subsamples all ask one question: *which rank interval of a seeded random
 order does each row fall in?*  ``row_number() OVER (PARTITION BY label ORDER BY h)`` answers it, but
-puts a whole stratum (up to all rows) in one task.  Here instead, rows are ranked by the prefixes of
-their 32-bit order hash ``h`` (order preserving, uniform), refined level by level:
-
-1. level 1 counts rows per (stratum, lead keys, top 8 bits of ``h``) - at most 256 buckets per stratum,
-   so each map task emits at most 256 partial counts per stratum whatever the data size;
-2. a window over that small table gives each bucket its first rank; buckets lying wholly inside one
-   rank interval are resolved by a broadcast join, map side, with no shuffle of the rows;
-3. only rows of the few buckets that straddle an interval edge go on to the next level, which counts
-   them by the next 8 bits inside their parent bucket, and so on;
-4. once the undecided rows are few (``window_rows``), they get an exact ``row_number`` inside their
-   bucket.
-
-The result is identical to the plain window (ties on ``h`` broken by a tiebreak column).  Every small
-table is bounded by ``parents x 2^bits`` rows and checked before it is broadcast.
+puts a whole stratum (up to all rows) in one task.  Here the rows are stored once, with a unique row number, and only
+the row *at* each interval's lower end is looked for, digit by digit:
+
+1. the first pass counts rows per (stratum, lead keys, top 8 bits of the 32-bit order hash): each map task emits at most
+   256 partial counts per stratum whatever the data size; a window over that small table finds the bucket of each cut;
+2. later passes count only the rows of those buckets (one per cut) by the next digit: three more of the hash, then the tiebreak
+   column, then four of a hash of the row number, so equal ids are told apart too;
+3. once the buckets hold few rows (``window_rows``), a ``row_number`` inside them gives the cut rows' keys.
+
+Then one map-side pass tags every row with the interval of the last cut at or before its own key.  The result is
+that of the plain window (ties on the hash broken by the tiebreak column, further ties by row number).
 """
 
 from __future__ import annotations
@@ -26,8 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.session import materialize
+
 LEVEL_BITS = (8, 8, 8, 8)
-# Undecided rows left for the final exact window (spread over a handful of buckets).
+# Rows of the cuts' buckets left for the final exact window.
 WINDOW_ROWS = 1 << 22
 # Upper bound (rows) for a bucket table we broadcast; above it the joins fall back to shuffles.
 BROADCAST_ROWS = 2_000_000
@@ -35,6 +34,16 @@ BROADCAST_ROWS = 2_000_000
 SegmentFn = Callable[[DataFrame], DataFrame]
 
 
+def join_groups(left: DataFrame, small: DataFrame, by: Sequence[str], *, few: bool, how: str = "inner") -> DataFrame:
+    """Join on group columns in which NULL is a group like any other; ``small`` is broadcast only where it is ``few``."""
+    names = {c: f"_of_{c}" for c in by}
+    right = small.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for c, of in names.items():
+        cond = cond & F.col(c).eqNullSafe(F.col(of))
+    return left.join(F.broadcast(right) if few else right, cond, how).drop(*names.values())
+
+
 def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
 
@@ -52,77 +61,70 @@ def assign_by_rank(
 ) -> DataFrame:
     """Attach the payload of the rank interval each row falls in.
 
-    Rows are ranked 1..n within ``strata`` by ``(lead..., hash_col, tiebreak)``.  ``segments`` receives a
-    DataFrame ``(strata..., n)`` of stratum sizes and returns ``(strata..., _lo, _hi, payload...)``:
+    Rows are ranked 1..n within ``strata`` by ``(lead..., hash_col, tiebreak)``, equal ones by a row number.  ``segments``
+    receives a DataFrame ``(strata..., n)`` of stratum sizes and returns ``(strata..., _lo, _hi, payload...)``:
     inclusive, disjoint rank intervals covering ``1..n``.  Every input row comes out exactly once with
-    the payload columns added.  ``strata`` and ``lead`` must be low-cardinality columns and
-    ``sum(level_bits) <= 32``.
+    the payload columns added.  ``strata`` and ``lead`` must be low-cardinality columns (the driver handles one row per
+    cut) and ``sum(level_bits) <= 32``.  ``df`` is read once: it is stored in the checkpoint folder.
     """
-    strata = list(strata)
     lead = list(lead)
-    d = df
-    if not strata:
-        d = d.withColumn("_all", F.lit(0))
-        strata_keys = ["_all"]
-    else:
-        strata_keys = strata
-    for i, used in enumerate(_cumulative(level_bits)):
-        d = d.withColumn(f"_p{i}", F.shiftright(F.col(hash_col), 32 - used))
+    groups = list(strata) or ["_all"]
+    d = df if strata else df.withColumn("_all", F.lit(0))
+    d = materialize(d.withColumn("_u", F.monotonically_increasing_id()))
+    spark = d.sparkSession
+    spread = F.xxhash64("_u")
+    digits = {f"_p{i}": F.shiftright(F.col(hash_col), 32 - used) for i, used in enumerate(_cumulative(level_bits))}
+    if sum(level_bits) == 32:  # the whole hash: equal ones may be told apart further
+        digits["_t"] = F.col(tiebreak)
+        digits |= {f"_v{i}": F.shiftright(spread, 64 - 8 * (i + 1)) for i in range(4)}
+    slim = d.select(*dict.fromkeys([*groups, *lead, hash_col, tiebreak, "_u"]))
+    full = [*lead, hash_col, tiebreak, "_v", "_u"]
+    key = F.struct(*[F.col(c) if c != "_v" else spread.alias("_v") for c in full])
 
     segs = None
-    payload: list[str] = []
-    pieces = []
-    parent = None            # undecided buckets of the previous level: keys + _start
-    parent_keys: list[str] = []
-    n_parent = 0
-    for level, bits in enumerate(level_bits):
-        pcol = f"_p{level}"
-        keys = strata_keys + lead + [pcol]
-        src = d if parent is None else d.join(_maybe_broadcast(parent.select(*parent_keys), n_parent), parent_keys)
-        counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-        if parent is None:
-            before = Window.partitionBy(*strata_keys).orderBy(*lead, pcol).rowsBetween(Window.unboundedPreceding, -1)
-            buckets = counts.withColumn("_start", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).cast("bigint"))
+    held = None  # one row per cut: group, digits so far, rows before and in its bucket, rank of the cut
+    keys = [*groups, *lead]
+    for name, digit in digits.items():
+        found = [*keys, name]
+        if held is None:
+            src = slim.withColumn(name, digit)
         else:
-            up = f"_p{level - 1}"
-            before = Window.partitionBy(*parent_keys).orderBy(pcol).rowsBetween(Window.unboundedPreceding, -1)
-            buckets = (counts.withColumn(up, F.shiftright(F.col(pcol), bits))
-                       .join(_maybe_broadcast(parent.select(*parent_keys, F.col("_start").alias("_pstart")), n_parent),
-                             parent_keys)
-                       .withColumn("_start", (F.col("_pstart") + F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-                                   .cast("bigint"))
-                       .drop(up, "_pstart"))
-        buckets = buckets.persist()
-        n_buckets = buckets.count()  # proven size of this level's small tables
+            buckets = held.select(*keys, F.col("_start").alias("_before")).distinct()
+            src = join_groups(slim.withColumns({k: digits[k] for k in (*(x for x in keys if x in digits), name)}), buckets, keys, few=True)
+        counts = src.groupBy(*found, *([] if held is None else ["_before"])).agg(F.count(F.lit(1)).alias("_cnt"))
+        upto = (Window.partitionBy(*groups).orderBy(*lead, name) if held is None else Window.partitionBy(*keys).orderBy(name))
+        start = F.coalesce(F.sum("_cnt").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.withColumn("_start", (start + (F.lit(0) if held is None else F.col("_before"))).cast("bigint"))
         if segs is None:
-            totals = buckets.groupBy(*strata_keys).agg(F.sum("_cnt").cast("bigint").alias("n"))
-            if strata:
-                segs = segments(totals)
-            else:
-                segs = segments(totals.drop("_all")).withColumn("_all", F.lit(0))
-            segs = segs.persist()
-            payload = [c for c in segs.columns if c not in set(strata_keys) | {"_lo", "_hi"}]
-        inside = (F.col("_lo") <= F.col("_start") + 1) & (F.col("_hi") >= F.col("_start") + F.col("_cnt"))
-        resolved = buckets.join(F.broadcast(segs), strata_keys).where(inside).select(*keys, *payload)
-        pieces.append(src.join(_maybe_broadcast(resolved, n_buckets), keys))
-        undecided = buckets.join(resolved.select(*keys), keys, "left_anti").select(*keys, "_start", "_cnt").persist()
-        stats = undecided.agg(F.count(F.lit(1)).alias("k"), F.sum("_cnt").alias("rows")).first()
-        parent, parent_keys, n_parent = undecided, keys, stats["k"]
-        if not stats["rows"] or stats["rows"] <= window_rows:
+            counts = counts.persist()
+            totals = counts.groupBy(*groups).agg(F.sum("_cnt").cast("bigint").alias("n"))
+            got = segments(totals if strata else totals.drop("_all"))
+            got = got if strata else got.withColumn("_all", F.lit(0))
+            segs = spark.createDataFrame(got.collect(), got.schema)
+            cuts = segs.where("_lo > 1").select(*groups, F.col("_lo").alias("_rank"))
+        else:
+            cuts = held.select(*keys, "_rank")
+        on = groups if held is None else keys
+        chosen = join_groups(counts, cuts, on, few=True).where("_start < _rank and _rank <= _start + _cnt").select(*found, "_start", "_cnt", "_rank")
+        rows = chosen.collect()  # one row per cut
+        if held is None:
+            counts.unpersist()
+        held, keys = spark.createDataFrame(rows, chosen.schema), found
+        if sum({tuple(r[c] for c in found): r["_cnt"] for r in rows}.values()) <= window_rows:
             break
 
-    within = Window.partitionBy(*parent_keys).orderBy(hash_col, tiebreak)
-    rest = (
-        d.join(_maybe_broadcast(parent, n_parent), parent_keys)
-        .withColumn("_rank", F.row_number().over(within) + F.col("_start"))
-        .join(F.broadcast(segs), strata_keys)
-        .where((F.col("_rank") >= F.col("_lo")) & (F.col("_rank") <= F.col("_hi")))
-    )
-    cols = [c for c in df.columns] + payload
-    out = rest.select(*cols)
-    for piece in pieces:
-        out = piece.select(*cols).unionByName(out)
-    return out
+    buckets = held.select(*keys, "_start").distinct()
+    near = join_groups(slim.withColumns({k: digits[k] for k in keys if k in digits}), buckets, keys, few=True)
+    order = [*lead, hash_col, tiebreak, spread, "_u"]
+    ranked = near.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) + F.col("_start"))
+    at = join_groups(ranked, held.select(*groups, "_rank").distinct(), [*groups, "_rank"], few=True).select(*groups, "_rank", key.alias("_key"))
+    payload = [c for c in segs.columns if c not in {*groups, "_lo", "_hi"}]
+    table = join_groups(segs.withColumn("_rank", F.col("_lo").cast("bigint")), at, [*groups, "_rank"], few=True, how="left")
+    table = table.groupBy(*groups).agg(F.sort_array(F.collect_list(F.struct("_lo", "_key", *payload))).alias("_cuts"))
+    table = spark.createDataFrame(table.collect(), table.schema)  # one row per stratum
+    tagged = join_groups(d, table, groups, few=True)
+    mine = F.element_at(F.filter("_cuts", lambda c: (c["_lo"] == 1) | (c["_key"] <= key)), -1)
+    return tagged.withColumn("_mine", mine).select(*df.columns, *[F.col(f"_mine.{c}").alias(c) for c in payload])
 
 
 def _cumulative(bits: Sequence[int]) -> list[int]:

@@ -36,9 +36,8 @@ def write_dense(vectors: DataFrame, path: str) -> None:
 
 
 def write_prep(prep: FittedPrep, spark: SparkSession, path: str) -> None:
-    """The fitted encoder (Spark ML format) and the fitted statistics table."""
-    if prep.encoder is not None:
-        prep.encoder.write().overwrite().save(f"{path}/encoder")
+    """The category dictionary and the fitted statistics table."""
+    prep.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
     prep.statistics(spark).write.mode("overwrite").parquet(f"{path}/statistics")
 
 
@@ -77,16 +76,39 @@ def manifest(split: DataFrame, prep: FittedPrep, roles, target: str) -> DataFram
     ratios = split.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("fraud_count"),
         F.avg((F.col("label") == 1).cast("double")).alias("fraud_ratio"))
-    names = prep.feature_names
-    return ratios.agg(F.map_from_entries(F.collect_list(F.struct(
-        "split", F.struct("n", "fraud_count", "fraud_ratio")))).alias("fraud_ratio")).select(
+    one = ratios.agg(F.map_from_entries(F.collect_list(F.struct("split", F.struct("n", "fraud_count", "fraud_ratio")))).alias("fraud_ratio"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "feature"))), lambda x: x["feature"])
+    names = prep.names().agg(ordered.alias("feature_names"))
+    # Two tables of one row side by side.
+    both = one.unionByName(names, allowMissingColumns=True).agg(F.max_by("fraud_ratio", F.col("fraud_ratio").isNotNull()).alias("fraud_ratio"),
+                                                               F.max("feature_names").alias("feature_names"))
+    return both.select(
         F.lit(target).alias("target_column"),
         F.lit(roles.amount).alias("detected_amount_column"),
         F.lit(roles.balance).alias("detected_balance_column"),
         F.array_sort(F.array(*[F.lit(c) for c in roles.dropped]).cast("array<string>")).alias("dropped_columns"),
         F.array(*[F.lit(c) for c in prep.numeric]).cast("array<string>").alias("numeric_columns"),
         F.array(*[F.lit(c) for c in prep.categorical]).cast("array<string>").alias("categorical_columns"),
-        F.lit(len(names)).alias("n_features_after_preprocessing"),
-        F.array(*[F.lit(c) for c in names]).cast("array<string>").alias("feature_names"),
+        F.lit(prep.n_features).alias("n_features_after_preprocessing"),
+        "feature_names",
         "fraud_ratio",
     )
+
+
+def manifest_rows(split: DataFrame, prep: FittedPrep, roles, target: str, dropped_rows: int) -> DataFrame:
+    """S5 as a table ``(entry, pos, text, number)``, one row per value, so that nothing grows inside a row.
+
+    Entries: target, amount and balance column, dropped, numeric and categorical columns (by position), features, rows that the
+    label filter dropped (P6), and n, positives and positive share per split.
+    """
+    spark = split.sparkSession
+    rows = [("target_column", 0, target, None), ("amount_column", 0, roles.amount, None), ("balance_column", 0, roles.balance, None),
+            ("dropped_rows", 0, None, float(dropped_rows)), ("n_features", 0, None, float(prep.n_features))]
+    for entry, names in (("dropped_column", sorted(roles.dropped)), ("numeric_column", prep.numeric), ("categorical_column", prep.categorical)):
+        rows += [(entry, i, c, None) for i, c in enumerate(names)]
+    fixed = spark.createDataFrame(rows, "entry string, pos int, text string, number double")
+    features = prep.names().select(F.lit("feature").alias("entry"), "pos", F.col("feature").alias("text"), F.lit(None).cast("double").alias("number"))
+    per_split = split.groupBy("split").agg(F.count(F.lit(1)).cast("double").alias("n"), F.count_if(F.col("label") == 1).cast("double").alias("k"))
+    ratios = per_split.select(F.expr("stack(3, 'n', n, 'fraud_count', k, 'fraud_ratio', k / n) as (entry, number)"), F.lit(0).alias("pos"),
+                              F.col("split").alias("text"))
+    return fixed.unionByName(features).unionByName(ratios)
