@@ -139,3 +139,7 @@ v AS (
   JOIN offs ON offs.col_name = al.col_name)
 SELECT v.row_id, sp.split, v.pos, round(v.value, {_R}) AS value FROM v JOIN sp USING (row_id) WHERE v.value <> 0""",
 }
+
+# SQL up to the table v(row_id, pos, value) of non-zero features, and the names (pos, feature).
+VECTORS = ORACLE["prep_vectors"].rsplit("SELECT v.row_id", 1)[0]
+NAMES = ORACLE["feature_names"][len(_BASE + _STATS):]

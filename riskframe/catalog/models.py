@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.catalog import metrics as cm
+from riskframe.catalog import fitted as fitted_catalog
 from riskframe.catalog.fitted import fitted
 from riskframe.catalog.prep import txn_split
 from riskframe.catalog.sqlparts import R6, SPLIT_CTE, TXN_MODEL_CTE, with_ctes
 from riskframe.operators import metrics as M
 from riskframe.operators import models as ML
-from riskframe.operators.prep import nonzero_long
+from riskframe.operators import scoring as SC
 from riskframe.operators.split import subsample
+from riskframe.plans.compare import central_baseline, run_comparison
 from riskframe.session import materialize
 from riskframe.sources import fixtures as fx
 
@@ -51,7 +53,7 @@ def q_fit_forest(spark, sf_dir):
 
 
 def q_fit_boosted(spark, sf_dir):
-    return _fit_and_report(spark, sf_dir, ML.fit_boosted, "xgboost")
+    return _fit_and_report(spark, sf_dir, ML.fit_boosted, "gradient_boosted_trees")
 
 
 def q_fit_tree(spark, sf_dir):
@@ -63,13 +65,45 @@ def q_fit_svm_calibrated(spark, sf_dir):
 
 
 def q_linear_score(spark, sf_dir):
-    """M8: test rows scored from the logistic model's coefficient table joined to long features."""
-    train, test = _train_test(spark, sf_dir)
-    lr = ML.fit_logistic(train)
-    coefs = spark.createDataFrame([(i, float(c)) for i, c in enumerate(lr.coefficients.toArray())], "pos int, coef double")
-    long = nonzero_long(test, "features", ["row_id"]).withColumn("pos", F.col("pos").cast("int"))
-    s = ML.linear_scores(test, long, coefs, float(lr.intercept))
-    return s.select("row_id", F.round("score", R6).alias("score"))
+    """M8: test rows scored inside the row by the logistic model's coefficients, given as a table."""
+    split, prep = fitted(spark, sf_dir)
+    v = materialize(prep.transform(split.where(F.col("split") == "train")).select("row_id", "label", "features"))
+    lr = ML.fit_logistic(materialize(subsample(v, MAX_TRAIN_SAMPLES)))
+    by_pos = spark.createDataFrame([(i, float(c)) for i, c in enumerate(lr.coefficients.toArray())], "pos int, coef double")
+    coefs = (prep.names().join(by_pos, "pos").select(F.lit("score").alias("model"), "feature", "coef")
+             .unionByName(spark.createDataFrame([("score", SC.INTERCEPT, float(lr.intercept))], "model string, feature string, coef double")))
+    out = SC.linear_wide(prep, split.where(F.col("split") == "test"), coefs, ("row_id",))
+    return out.select("row_id", F.round("score", R6).alias("score"))
+
+
+def _linear_rows(spark, sf_dir):
+    """Every val and test row with its score under each supplied linear model, rounded so that both engines tie alike."""
+    split, prep = fitted(spark, sf_dir)
+    wide = SC.linear_wide(prep, split.where(F.col("split").isin("val", "test")), fx.linear_models(spark), ("row_id", "label", "split"))
+    names = sorted({m for m, _, _ in fx.LINEAR_MODELS})
+    return split, names, wide.select("row_id", "label", "split", *[F.round(m, R6).alias(m) for m in names])
+
+
+def q_linear_models(spark, sf_dir):
+    """M8 on supplied coefficient tables: each row's score under every model."""
+    return _linear_rows(spark, sf_dir)[2]
+
+
+def q_compare_linear(spark, sf_dir):
+    """Sections M6-M8, O1, O3 as one plan on supplied coefficient tables: wide scores, blends, stack, one metric job."""
+    split, names, wide = _linear_rows(spark, sf_dir)
+    scores = SC.stacked(wide, names, fx.LINEAR_BLENDS, ("row_id", "label", "split"))
+    return cm._round_doubles(SC.comparison(scores, 0.5, split.where(F.col("split") == "train").count()))
+
+
+def q_compare_models(spark, sf_dir):
+    """The model comparison with all five fitted models and the two blends."""
+    return cm._round_doubles(run_comparison(vectors(spark, sf_dir)).metrics)
+
+
+def q_central_baseline(spark, sf_dir):
+    """The central baseline, fitted on all train rows: metrics, class report, confusion grid, ROC and PR points."""
+    return cm._round_doubles(central_baseline(vectors(spark, sf_dir)))
 
 
 # -- blends and ranking on the fixed score table ---------------------------------------------
@@ -121,6 +155,10 @@ QUERIES = {
     "fit_tree": q_fit_tree,
     "fit_svm_calibrated": q_fit_svm_calibrated,
     "linear_score": q_linear_score,
+    "linear_models": q_linear_models,
+    "compare_linear": q_compare_linear,
+    "compare_models": q_compare_models,
+    "central_baseline": q_central_baseline,
     "blend_scores": q_blend_scores,
     "model_ranking": q_model_ranking,
     "top_models": q_top_models,
@@ -133,12 +171,12 @@ QUERIES = {
 _R = R6
 
 
-def _blend_sql(src: str) -> str:
-    members = sorted({m for a, b, _, _ in FIXTURE_BLENDS for m in (a, b)})
+def _blend_sql(src: str, blends=FIXTURE_BLENDS) -> str:
+    members = sorted({m for a, b, _, _ in blends for m in (a, b)})
     cols = ", ".join(f"max(score) FILTER (WHERE model = '{m}') AS \"{m}\"" for m in members)
     parts = [f"SELECT row_id, label, '{ML.blend_name(a, b, wa, wb)}' AS model, "
              f"{float(wa)!r}::DOUBLE * \"{a}\" + {float(wb)!r}::DOUBLE * \"{b}\" AS score FROM wide"
-             for a, b, wa, wb in FIXTURE_BLENDS]
+             for a, b, wa, wb in blends]
     return (f", wide AS (SELECT row_id, label, {cols} FROM {src} GROUP BY row_id, label),\n"
             f"blends AS (SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE score IS NOT NULL),\n"
             f"allsc AS (SELECT *, 'single' AS kind FROM {src} UNION ALL SELECT *, 'hybrid' AS kind FROM blends)\n")
@@ -180,3 +218,25 @@ SELECT * FROM (SELECT kind, model, round(f1, {_R}) AS f1,
 SELECT v.kind, v.model, round(v.val_f1, {_R}) AS val_f1, round(t.f1, {_R}) AS test_f1, round(t.roc_auc, {_R}) AS test_roc_auc
 FROM v JOIN m t ON t.kind = v.kind AND t.model = v.model AND t.split = 'test'""",
 }
+
+_LINEAR = fitted_catalog.VECTORS + f"""
+, names AS ({fitted_catalog.NAMES}),
+lin AS ({fx.linear_models_sql()}),
+b AS (SELECT model, sum(coef) FILTER (WHERE feature = '(intercept)') AS b FROM lin GROUP BY model),
+t AS (SELECT v.row_id, lin.model, sum(lin.coef * v.value) AS t FROM v JOIN names USING (pos) JOIN lin USING (feature) GROUP BY ALL),
+scores AS (SELECT s.row_id, s.label, s.split, b.model, round(1 / (1 + exp(-(b.b + coalesce(t.t, 0)))), {_R}) AS score
+           FROM split s JOIN b ON true LEFT JOIN t ON t.row_id = s.row_id AND t.model = b.model WHERE s.split IN ('val', 'test'))
+"""
+ORACLE["linear_models"] = _LINEAR + "SELECT row_id, label, split, " + ", ".join(
+    f"max(score) FILTER (WHERE model = '{m}') AS {m}" for m in sorted({m for m, _, _ in fx.LINEAR_MODELS})) + " FROM scores GROUP BY row_id, label, split"
+ORACLE["compare_linear"] = _LINEAR + """, plain AS (SELECT row_id, label, model, score FROM scores)
+""" + _blend_sql("plain", fx.LINEAR_BLENDS) + """, sc AS (SELECT allsc.*, split.split FROM allsc JOIN split USING (row_id))
+""" + _metrics_sql("sc", "split, kind, model").replace(
+    "AS fn FROM", "AS fn, count(*) FILTER (WHERE score < 0.5 AND label <> 1) AS tn FROM") + f"""
+, best AS (SELECT kind, model FROM m WHERE split = 'val' QUALIFY row_number() OVER (PARTITION BY kind ORDER BY f1 DESC, model DESC) = 1)
+SELECT split, kind, model, tp + fp + fn + tn AS n, round((tp + tn) / (tp + fp + fn + tn), {_R}) AS accuracy,
+  round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, {_R}) AS precision,
+  round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, {_R}) AS recall, round(f1, {_R}) AS f1, round(roc_auc, {_R}) AS roc_auc, round(pr_auc, {_R}) AS pr_auc,
+  CAST(row_number() OVER (PARTITION BY split, kind ORDER BY f1 DESC, model) AS INTEGER) AS rank,
+  (kind, model) IN (SELECT (kind, model) FROM best) AS chosen, 0.5::DOUBLE AS threshold,
+  (SELECT count(*) FROM split WHERE split = 'train') AS train_rows FROM m"""

@@ -102,3 +102,24 @@ def scores_cte() -> str:
     """DuckDB ``WITH`` prefix defining txn_raw, kept and scores."""
     return (f"WITH txn_raw AS ({duckdb_sql(TXN_RAW_SQL)}), kept AS ({KEPT_SQL}), "
             f"scores AS ({SCORES_SQL}) ")
+
+
+# Supplied coefficient tables of three linear models over the features of the txn model table: (model, feature, coefficient).
+# One name is of no feature, so it has no effect.
+LINEAR_MODELS = (
+    ("linear_amount", "(intercept)", -2.0), ("linear_amount", "num__Transaction_Amount", 1.4), ("linear_amount", "num__log_amount", 0.6),
+    ("linear_amount", "num__Account_Balance", -0.05), ("linear_amount", "cat__Segment_BUILDING", 0.1),
+    ("linear_type", "(intercept)", -2.5), ("linear_type", "cat__Transaction_Type_error", 3.5), ("linear_type", "num__Transaction_Amount", 0.8),
+    ("linear_type", "cat__Transaction_Type_click", -0.4), ("linear_type", "cat__Nation_FRANCE", 0.2), ("linear_type", "cat__Nation_nowhere", 9.0),
+    ("linear_night", "(intercept)", -1.8), ("linear_night", "num__is_night", 0.9), ("linear_night", "num__tx_hour", -0.2),
+    ("linear_night", "num__log_amount", 0.7), ("linear_night", "num__amount_to_balance_ratio", 0.01),
+)
+LINEAR_BLENDS = (("linear_amount", "linear_type", 0.7, 0.3), ("linear_amount", "linear_night", 0.6, 0.4))
+
+
+def linear_models(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(LINEAR_MODELS), "model string, feature string, coef double")
+
+
+def linear_models_sql() -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{m}', '{f}', {c!r}::DOUBLE)" for m, f, c in LINEAR_MODELS) + ") AS t(model, feature, coef)"

@@ -51,6 +51,13 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def result_document(results: DataFrame, threshold: float) -> DataFrame:
+    """A results table (one row per model) as one document: the threshold and the rows, best F1 first."""
+    name = "hybrid_model" if "hybrid_model" in results.columns else "model"
+    rows = F.sort_array(F.collect_list(F.struct((-F.col("f1")).alias("_order"), F.struct(name, *[c for c in results.columns if c != name]).alias("row"))))
+    return results.agg(F.lit(float(threshold)).alias("threshold"), F.transform(rows, lambda r: r["row"]).alias("results"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """A metrics table as CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
