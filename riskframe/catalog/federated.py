@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from riskframe.catalog.sqlparts import R6
 from riskframe.functions.hashing import gaussian_noise_sql
 from riskframe.operators import federated as FD
 from riskframe.operators.rank import ordered_row_number
+from riskframe.session import ensure_checkpoint_dir, materialize
 from riskframe.sources import fixtures as fx
 from riskframe.sources.tables import read_table
 
@@ -85,6 +88,12 @@ def q_client_weights(spark, sf_dir):
     return _r(weights(spark, sf_dir))
 
 
+def q_client_weights_stepwise(spark, sf_dir):
+    """The same weights, one step per round from the stored state of the round before."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/client-weights-{uuid.uuid4().hex}"
+    return _r(FD.stepwise_weights(materialize(scored_clients(spark, sf_dir)), path))
+
+
 def q_weighted_average(spark, sf_dir):
     return _r(FD.weighted_average(params(spark, sf_dir), weights(spark, sf_dir)))
 
@@ -107,6 +116,7 @@ QUERIES = {
     "fedavg": q_fedavg,
     "client_score": q_client_score,
     "client_weights": q_client_weights,
+    "client_weights_stepwise": q_client_weights_stepwise,
     "weighted_average": q_weighted_average,
     "mask_params": q_mask_params,
     "unmasked_average": q_unmasked_average,
@@ -173,3 +183,4 @@ FROM params p JOIN wt ON wt.round = p.round AND wt.client_id = p.client_id GROUP
         f"round(max(weight) FILTER (WHERE client_id = '{c}'), {_R}) AS {c}_weight, "
         f"round(max(score) FILTER (WHERE client_id = '{c}'), {_R}) AS {c}_score" for c in CLIENTS) + " FROM wt GROUP BY round",
 }
+ORACLE["client_weights_stepwise"] = ORACLE["client_weights"]

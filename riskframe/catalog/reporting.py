@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskframe.catalog import federated as cf
+from riskframe.catalog import fitted as fitted_catalog
 from riskframe.catalog.fitted import fitted
 from riskframe.catalog.models import FIXTURE_BLENDS, vectors
 from riskframe.catalog.prep import txn_model
 from riskframe.catalog.sqlparts import R6
 from riskframe.operators import metrics as M
+from riskframe.operators.features import target_drop_count
 from riskframe.operators import mlp
 from riskframe.operators import models as ML
 from riskframe.operators import report as RP
 from riskframe.plans.grouped_training import TrainConfig, client_rows
+from riskframe.operators.prep import fit_prep
+from riskframe.operators.split import stratified_split
+from riskframe.plans.preprocess import build_model_table
+from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources import fixtures as fx
+from riskframe.sources import sinks
 from riskframe.sources.sinks import manifest
 
 
@@ -38,6 +47,27 @@ def q_manifest(spark, sf_dir):
     return manifest(split, prep, txn_model(spark, sf_dir).roles, "Is_Fraud")
 
 
+def q_manifest_rows(spark, sf_dir):
+    """S5 + P6: the manifest as a table, one row per value, with the rows that the label filter left out."""
+    raw = fx.txn_raw(spark, sf_dir)
+    mt = build_model_table(raw, row_key=fx.ROW_KEYS["txn_raw"])
+    split = stratified_split(mt.df)
+    prep = fit_prep(split.where(F.col("split") == "train"), mt.numeric, mt.categorical)
+    out = sinks.manifest_rows(split, prep, mt.roles, "Is_Fraud", target_drop_count(raw, split))
+    return out.withColumn("number", F.round("number", R6))
+
+
+def q_processed_roundtrip(spark, sf_dir):
+    """A committed version is written to shared storage; val features are read back from it, and test rows are
+    encoded anew with the statistics and the dictionary read back."""
+    split, prep = fitted(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/processed-{uuid.uuid4().hex}"
+    sinks.write_version(split, prep, path)
+    val = sinks.read_version(spark, path, "val").select("row_id", "split", F.inline(F.arrays_zip(F.col("indices").alias("pos"), F.col("values").alias("value"))))
+    test = sinks.load_prep(spark, path).entries(split.where(F.col("split") == "test"), ["row_id", "split"])
+    return val.unionByName(test).withColumn("value", F.round("value", R6))
+
+
 def q_client_evaluation(spark, sf_dir):
     """L2: the initial global model on every client's local validation rows: loss, rows and metrics."""
     v = vectors(spark, sf_dir)
@@ -56,6 +86,8 @@ QUERIES = {
     "markdown_report": q_markdown_report,
     "last_round_metrics": q_last_round_metrics,
     "manifest": q_manifest,
+    "manifest_rows": q_manifest_rows,
+    "processed_roundtrip": q_processed_roundtrip,
     "client_evaluation": q_client_evaluation,
 }
 
@@ -102,3 +134,19 @@ ORACLE = {
 SELECT client_id, round, round(f1, {R6}) AS f1, round(fraud_ratio, {R6}) AS fraud_ratio, n FROM (
   SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY round DESC) AS rk FROM cm) WHERE rk = 1""",
 }
+
+_ORDERED = {"dropped_column": ("Customer_ID", "Customer_Name", "Transaction_ID"), "numeric_column": fitted_catalog.TXN_NUMERIC,
+            "categorical_column": fitted_catalog.TXN_CATEGORICAL}
+_FIXED = [("target_column", 0, "Is_Fraud"), ("amount_column", 0, "Transaction_Amount"), ("balance_column", 0, "Account_Balance"),
+          *((entry, i, c) for entry, names in _ORDERED.items() for i, c in enumerate(names))]
+
+ORACLE["manifest_rows"] = fitted_catalog.VECTORS + f"""
+, names AS ({fitted_catalog.NAMES}),
+g AS (SELECT split, count(*) AS n, count(*) FILTER (WHERE label = 1) AS k FROM split GROUP BY split)
+SELECT entry, pos, text, NULL::DOUBLE AS number FROM (VALUES {", ".join(f"('{e}', {i}, '{t}')" for e, i, t in _FIXED)}) AS t(entry, pos, text)
+UNION ALL SELECT 'dropped_rows', 0, NULL, (SELECT count(*) FROM txn_raw) - (SELECT count(*) FROM split)
+UNION ALL SELECT 'n_features', 0, NULL, (SELECT count(*) FROM names)
+UNION ALL SELECT 'feature', pos, feature, NULL FROM names
+UNION ALL SELECT 'n', 0, split, n FROM g UNION ALL SELECT 'fraud_count', 0, split, k FROM g
+UNION ALL SELECT 'fraud_ratio', 0, split, round(k / n, {R6}) FROM g"""
+ORACLE["processed_roundtrip"] = fitted_catalog.ORACLE["prep_vectors"] + " AND sp.split IN ('val', 'test')"

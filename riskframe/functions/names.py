@@ -9,14 +9,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def normalize_name(name: str) -> str:
-    """Strip, lower case, spaces to underscores."""
-    return name.strip().lower().replace(" ", "_")
+# What a name is compared by, in this order: no white space around it, lower case, "_" for each blank inside.
+NAME_RULES = ((r"^\s+|\s+$", ""), (" ", "_"))
 
 
-def normalize_name_col(col: Column) -> Column:
-    """P1 over a column of names (for name tables)."""
-    return F.replace(F.lower(F.trim(col)), F.lit(" "), F.lit("_"))
+def plain_name(name: str) -> str:
+    """The form in which column names are compared."""
+    for pattern, put in NAME_RULES:
+        name = re.sub(pattern, put, name)
+    return name.lower()
+
+
+def plain_name_col(col: Column) -> Column:
+    """P1 over a column of names (for name tables), by the same rules."""
+    for pattern, put in NAME_RULES:
+        col = F.regexp_replace(col, pattern, put)
+    return F.lower(col)
 
 
 def _tokens(normalized: str) -> list[str]:
@@ -29,7 +37,7 @@ def name_matches(name: str, keywords: Iterable[str], match: str = "substring") -
     ``substring`` is the reference behaviour and over-matches (``id`` in *Holiday*); ``token`` only
     matches whole ``_``-separated words.
     """
-    n = normalize_name(name)
+    n = plain_name(name)
     if match == "token":
         toks = _tokens(n)
         return any(k in toks for k in keywords)

@@ -37,10 +37,13 @@ def sanitize_target(df: DataFrame, target: str) -> DataFrame:
     return df.where(y.isin(0.0, 1.0)).withColumn(target, y.cast("int"))
 
 
-def target_drop_count(df: DataFrame, target: str) -> Column:
-    """Aggregate expression: rows P6 drops (count in the same job as other statistics)."""
-    y = label_value(df, target)
-    return F.count_if(~F.coalesce(y.isin(0.0, 1.0), F.lit(False)))
+def target_drop_count(df: DataFrame, kept: DataFrame) -> int:
+    """Rows of ``df`` that P6 left out of ``kept``, a stored table: one count each, without columns.
+
+    An ``Observation`` would save the count of ``df``, but in a session that has used one, Spark ML models that hold a
+    training summary can no longer transform (the summary's session is then not serialisable).
+    """
+    return df.count() - kept.count()
 
 
 def amount_feature_columns(amount: Column, balance: Column) -> dict[str, Column]:

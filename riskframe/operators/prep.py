@@ -241,15 +241,19 @@ def fit_prep(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     medians = {r["col_name"]: r["median"] for r in exact_medians(train, numeric).collect()}
     ms = {r["col_name"]: (r["mean"], r["scale"]) for r in column_means_scales(train, numeric, medians).collect()}
     modes = {r["col_name"]: r["mode"] for r in column_modes(train, categorical).collect()} if categorical else {}
-    dictionary = materialize(category_dictionary(train, categorical))
+    return with_sizes(numeric, categorical, medians, {c: ms.get(c, (0.0, 1.0))[0] for c in numeric}, {c: ms.get(c, (0.0, 1.0))[1] for c in numeric},
+                      modes, materialize(category_dictionary(train, categorical)))
+
+
+def with_sizes(numeric: list[str], categorical: list[str], medians: dict, means: dict, scales: dict, modes: dict, dictionary: DataFrame) -> FittedPrep:
+    """Fitted statistics with the number of categories, first index and bytes of each column, counted from a stored dictionary."""
     stats = {r["cpos"]: r for r in dictionary.groupBy("cpos").agg(
         F.min("idx").alias("start"), F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("category") + 32).alias("bytes")).collect()}
     start, n = {}, 0
     for i, c in enumerate(categorical):
         start[c] = stats[i]["start"] if i in stats else n
         n = start[c] + (stats[i]["n"] if i in stats else 0)
-    return FittedPrep(numeric, categorical, medians, {c: ms.get(c, (0.0, 1.0))[0] for c in numeric},
-                      {c: ms.get(c, (0.0, 1.0))[1] for c in numeric}, modes, dictionary, start,
+    return FittedPrep(numeric, categorical, medians, means, scales, modes, dictionary, start,
                       {c: stats[i]["n"] if i in stats else 0 for i, c in enumerate(categorical)}, sum(r["bytes"] for r in stats.values()))
 
 

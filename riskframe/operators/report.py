@@ -11,21 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import materialize
+
 # The report's column order (only the columns present are shown) and its texts.
 REPORT_COLUMNS = ("model", "hybrid_model", "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "loss")
 TITLE = "# Model Comparison Report"
 SINGLE_TITLE = "## Top Single Models"
 HYBRID_TITLE = "## Top Hybrid Models"
 SUMMARY_TITLE = "## Summary File"
-MISSING_LINES = (
-    "## Status",
-    "",
-    "Required files are missing. Run the model comparison first.",
-    "",
-    "Expected files:",
-    "- `ml_single_results`",
-    "- `ml_hybrid_results`",
-)
+STATUS_TITLE = "## Status"
 DECIMALS = 6
 
 
@@ -71,11 +65,10 @@ def comparison_report(singles: DataFrame | None, hybrids: DataFrame | None, top_
     """The report as ``(line_no, line)``; a status variant when either metrics table is missing or empty."""
     present = [d for d in (singles, hybrids) if d is not None]
     spark = present[0].sparkSession if present else SparkSession.getActiveSession()
-    # Both tables are small aggregates read several times below (emptiness, size, rows): keep them.
-    singles = singles.persist() if singles is not None else None
-    hybrids = hybrids.persist() if hybrids is not None else None
-    if singles is None or hybrids is None or singles.isEmpty() or hybrids.isEmpty():
-        return _text(spark, enumerate([TITLE, "", *MISSING_LINES]))
+    singles, hybrids = (None if d is None else materialize(d) for d in (singles, hybrids))  # small tables read several times
+    absent = [name for name, d in (("single models", singles), ("blends", hybrids)) if d is None or d.isEmpty()]
+    if absent:
+        return _text(spark, enumerate([TITLE, "", STATUS_TITLE, "", *(f"There are no metrics of {name} to rank." for name in absent)]))
     n1 = min(top_k, singles.count())
     n2 = min(top_k, hybrids.count())
     s0 = 4                      # title, blank, section title, blank

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.functions.names import columns_matching, normalize_name
+from riskframe.functions.names import columns_matching, plain_name
 
 TARGET = "Is_Fraud"
 
@@ -72,7 +72,7 @@ def identity_columns(columns: Sequence[str], target: str, preserve: Sequence[str
     """P5: identifying columns to drop, sorted.  Never the target nor a preserved column."""
 
     def identifies(name: str) -> bool:
-        plain = normalize_name(name)
+        plain = plain_name(name)
         return plain.startswith("unnamed") or plain in IDENTITY_EXPLICIT or bool(columns_matching([name], IDENTITY_KEYWORDS, match))
 
     return sorted({c for c in set(columns) - {target, *preserve} if identifies(c)})

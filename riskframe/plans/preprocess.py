@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.features import add_amount_features, add_time_features, sanitize_target
+from riskframe.operators.features import add_amount_features, add_time_features, sanitize_target, target_drop_count
 from riskframe.operators.roles import (
     TARGET, Roles, amount_balance_columns, date_like_columns, feature_column_kinds,
     identity_columns, resolve_event_time,
@@ -62,6 +62,7 @@ class Prepared:
     split: DataFrame      # row_id, features..., label, split (checkpointed)
     prep: object          # FittedPrep
     vectors: DataFrame    # row_id, split, label, features
+    dropped_rows: int     # rows without a 0/1 label (P6)
 
 
 def run_preprocess(raw: DataFrame, out_dir: str | None = None, target: str = TARGET, row_key: str | None = None,
@@ -75,7 +76,8 @@ def run_preprocess(raw: DataFrame, out_dir: str | None = None, target: str = TAR
     from riskframe.sources import sinks
 
     mt = build_model_table(raw, target, row_key, match)
-    split = materialize(stratified_split(mt.df, seed=seed))
+    split = stratified_split(mt.df, seed=seed)  # stores its rows
+    dropped = target_drop_count(raw, split)
     prep = fit_prep(split.where(F.col("split") == "train"), mt.numeric, mt.categorical)
     vectors = materialize(prep.transform(split).select("row_id", "split", "label", "features"))
     if out_dir:
@@ -83,6 +85,8 @@ def run_preprocess(raw: DataFrame, out_dir: str | None = None, target: str = TAR
         sinks.write_features(vectors, f"{out}/processed/features")
         sinks.write_dense(vectors, f"{out}/processed/dense")
         sinks.write_prep(prep, raw.sparkSession, f"{out}/processed/preprocessor")
+        sinks.write_version(split, prep, f"{out}/processed/versions")
         sinks.write_json(sinks.manifest(split, prep, mt.roles, target), f"{out}/processed/manifest")
+        sinks.write_json(sinks.manifest_rows(split, prep, mt.roles, target, dropped), f"{out}/processed/manifest_rows")
         sinks.write_csv(class_ratio(split, ["split"]), f"{out}/metrics/split_fraud_ratio")
-    return Prepared(mt, split, prep, vectors)
+    return Prepared(mt, split, prep, vectors, dropped)

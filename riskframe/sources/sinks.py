@@ -7,11 +7,13 @@ pruned to its folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.operators.prep import FittedPrep, dense_features
+from riskframe.operators.prep import FittedPrep, dense_features, with_sizes
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -41,6 +43,60 @@ def write_prep(prep: FittedPrep, spark: SparkSession, path: str) -> None:
     prep.statistics(spark).write.mode("overwrite").parquet(f"{path}/statistics")
 
 
+COMMIT_SCHEMA = "version int, folder string, numeric array<string>, categorical array<string>"
+
+
+def committed(spark: SparkSession, path: str) -> list:
+    """Versions of ``path`` in order; a folder without a commit record is no version."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return []
+    return sorted(spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/commits").collect(), key=lambda r: (r["version"], r["folder"]))
+
+
+def write_version(split: DataFrame, prep: FittedPrep, path: str) -> int:
+    """S2 + S4 as one committed version: sparse features per split, statistics and category dictionary.
+
+    The tables go into a folder of their own; the version exists once its record is appended to ``commits`` (Spark's own output
+    commit), so a reader never sees half of one and a failed write leaves earlier versions as they were.
+    """
+    spark = split.sparkSession
+    version = max((r["version"] for r in committed(spark, path)), default=0) + 1
+    folder = f"data-{version}-{uuid.uuid4().hex}"
+    rows = prep.sparse_rows(split, ["row_id", "split", "label"])
+    rows.write.partitionBy("split").parquet(f"{path}/{folder}/features")
+    write_prep(prep, spark, f"{path}/{folder}")
+    record = spark.createDataFrame([(version, folder, prep.numeric, prep.categorical)], COMMIT_SCHEMA)
+    record.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    return version
+
+
+def _folder(spark: SparkSession, path: str, version: int | None):
+    found = [r for r in committed(spark, path) if version is None or r["version"] == version]
+    if not found:
+        raise ValueError(f"{path} holds no committed version" + ("" if version is None else f" {version}"))
+    return found[-1]
+
+
+def read_version(spark: SparkSession, path: str, split: str, version: int | None = None) -> DataFrame:
+    """One split of a committed version, the last unless given; only that split's folder is read."""
+    folder = _folder(spark, path, version)["folder"]
+    schema = "row_id long, label int, size int, indices array<int>, values array<double>, split string"
+    return spark.read.schema(schema).parquet(f"{path}/{folder}/features").where(F.col("split") == split)
+
+
+def load_prep(spark: SparkSession, path: str, version: int | None = None) -> FittedPrep:
+    """S4 read back: the fitted statistics and the dictionary of a committed version, ready to transform rows."""
+    record = _folder(spark, path, version)
+    base = f"{path}/{record['folder']}"
+    stats = {(r["col_name"], r["stat"]): r for r in spark.read.parquet(f"{base}/statistics").collect()}  # a few numbers per column
+    pick = lambda cols, stat, field: {c: stats[c, stat][field] for c in cols if stats[c, stat][field] is not None}
+    numeric, categorical = list(record["numeric"]), list(record["categorical"])
+    dictionary = spark.read.schema("cpos int, category string, idx long").parquet(f"{base}/dictionary")
+    return with_sizes(numeric, categorical, pick(numeric, "median", "value"), pick(numeric, "mean", "value"), pick(numeric, "scale", "value"),
+                      pick(categorical, "mode", "text"), dictionary)
+
+
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One split of a written feature table (partition pruning reads only its folder)."""
     return spark.read.parquet(path).where(F.col("split") == split)

@@ -5,14 +5,14 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.functions.names import columns_matching, normalize_name
+from riskframe.functions.names import columns_matching, plain_name
 from riskframe.operators.features import add_amount_features, add_time_features, sanitize_target
 from riskframe.operators.roles import amount_balance_columns, identity_columns, resolve_event_time
 from riskframe.plans.preprocess import build_model_table
 
 
 def test_normalize_and_substring_overmatch():
-    assert normalize_name("  Account Balance ") == "account_balance"
+    assert plain_name("  Account Balance ") == "account_balance"
     cols = ["Holiday", "Sentiment", "Account_Balance", "Unnamed: 0", "Amount"]
     assert columns_matching(cols, ["id"]) == ["Holiday"]
     assert columns_matching(cols, ["time"]) == ["Sentiment"]
