@@ -75,9 +75,9 @@ def leaf_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, Column
     return [(p, test(None)) for p, test in walk(schema, prefix, lambda r: None)]
 
 
-def fingerprint(schema: T.StructType) -> Column:
-    """Hash of the sorted paths of the fields that hold a value."""
-    found = sorted(leaf_paths(schema), key=lambda x: x[0])
+def fingerprint(schema: T.StructType, known: set[str]) -> Column:
+    """Hash of the sorted paths, among the ``known`` ones, of the fields that hold a value."""
+    found = sorted((x for x in leaf_paths(schema) if x[0] in known), key=lambda x: x[0])
     held = F.concat_ws("\n", *[F.when(c, F.lit(p)) for p, c in found])
     return F.xxhash64(held)
 
@@ -91,15 +91,16 @@ def canonical_turns(records: DataFrame, key: str, order: str | None = None, fiel
     """Rows ``(conv, ord, pos, role, text, layout)`` of all records; ``fields`` are the columns that hold the record.
 
     Columns outside ``fields`` (extra ones, also with clashing names) are ignored.  A null text reads as empty; a
-    flat entry whose paths are all null gives no turn; a record of unknown shape gives one turn of null role, empty text
-    and layout ``unknown`` instead of being lost.  ``order`` sorts rows of one conversation (nulls first).
+    flat entry whose paths are all null gives no turn.  Fields that no mapping knows (a message's name, say) do not
+    matter to the shape.  A record whose known fields are those of no mapping gives one turn of null role and layout ``unknown``, its
+    text the record as JSON, so nothing of it is lost.  ``order`` sorts rows of one conversation (nulls first).
     """
     fields = list(fields or [c for c in records.columns if c not in (key, order)])
     held = records.select(F.col(f"`{key}`").alias("conv"),
                           (F.col(f"`{order}`") if order else F.lit(0)).cast("long").alias("ord"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("rec"))
     schema = held.schema["rec"].dataType
     names = {f.name for f in schema.fields}
-    print_ = fingerprint(schema)
+    print_ = fingerprint(schema, {p for m in mappings for p in (*m.needs, *m.may)})
     one = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("role", T.StringType()), T.StructField("text", T.StringType())]))
 
     def get(path: str) -> Column:
@@ -131,13 +132,14 @@ def canonical_turns(records: DataFrame, key: str, order: str | None = None, fiel
         return out.cast(one)
 
     # Shapes a mapping accepts, among the columns this table has: their hashes select it.
-    unknown = F.array(F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("role"), F.lit("").alias("text"))).cast(one)
+    raw = F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields]))
+    unknown = F.array(F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("role"), F.when(raw == "{}", "").otherwise(raw).alias("text"))).cast(one)
     layout, body = F.lit(None).cast("string"), None
     fit = [m for m in mappings if {p.split("[")[0].split(".")[0] for p in m.needs} <= names]
     flat = held.select("conv", "ord", "rec.*").select("conv", "ord", *[F.col(f"`{c}`") for c in fields])
     flat = flat.withColumn("__print", print_)
     for m in reversed(fit):
-        hit = F.col("__print").isin([_hash(records.sparkSession, s) for s in _shapes(m)])
+        hit = F.col("__print").isin(*[F.xxhash64(F.lit(x)) for x in _shapes(m)])
         layout = F.when(hit, F.lit(m.name)).otherwise(layout)
         body = F.when(hit, turns(m)).otherwise(unknown if body is None else body)
     body = unknown if body is None else body
@@ -145,10 +147,6 @@ def canonical_turns(records: DataFrame, key: str, order: str | None = None, fiel
             .select("conv", "ord", "x.pos", "x.role", "x.text", "layout"))
 
 
-def _hash(spark: SparkSession, text: str) -> int:
-    return spark.range(1).select(F.xxhash64(F.lit(text))).first()[0]
-
-
 def escape(c: Column) -> Column:
     """Reversible: every '<', '[' and backslash gets a backslash after it."""
     return F.regexp_replace(c, SPECIAL, r"$1\\")

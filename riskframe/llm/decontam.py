@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import checked_broadcast, staged, table
+from riskframe.llm.common import checked_broadcast, row_key, staged, table
 
 SPAN, GRAM = 10, 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -36,14 +36,16 @@ def picks(hashes: Column, window: int) -> Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text: str = "text", row_col: str | None = None) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` per row of ``docs``.
 
-    A document word inside any occurrence of an item's window is hit.  Rows of one id count as one document for hits (each
-    row is returned with all hits of its id, null being an id too); null texts and items without words match nothing.
+    A document word inside any occurrence of an item's window is hit.  Rows are known by ``row_col`` where it is given (a key of
+    their own values, so that each is judged by its own text whatever its id), else by their id: rows of one id then count as one document
+    for hits, null being an id too.  Null texts and items without words match nothing.
     """
     window = SPAN - GRAM + 1
-    texts = docs.select(F.col(id_col).alias("doc"), bench_words(F.col(text_col)).alias("words"))
+    key = row_col or id_col
+    texts = docs.select(F.col(key).alias("doc"), bench_words(F.col(text_col)).alias("words"))
     bench = staged(items.select(F.col(item_col).cast("string").alias("item"), bench_words(F.col(item_text)).alias("words")).where(F.size("words") > 0), "bench")
     long = bench.where(F.size("words") >= SPAN).select("item", grams(F.col("words"), GRAM).alias("g"))
     marks = long.select(F.explode(picks(F.col("g"), window)).alias("p"), "g").select(F.element_at("g", F.col("p") + 1).alias("mark")).distinct()
@@ -79,29 +81,30 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     found = covered.join(named, F.col("doc").eqNullSafe(F.col("d"))).drop("d")
     found = staged(found, "found")
     n = F.coalesce(F.regexp_count(F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(WORD)), F.lit(0)).cast("long")
-    return (docs.select(F.col(id_col).alias("doc_id"), n.alias("n_words"))
-            .join(checked_broadcast(found, found.count()), F.col("doc_id").eqNullSafe(F.col("doc")), "left")
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(key).alias("__key"), n.alias("n_words"))
+            .join(checked_broadcast(found, found.count()), F.col("__key").eqNullSafe(F.col("doc")), "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents").withColumn("__row", row_key("doc_id", "text"))
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), row_col="__row")
 
 
 _W = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 ORACLE = f"""
-WITH d AS (SELECT doc_id, coalesce({_W}, []) AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_W}, []) AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_W} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS t
   FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
 ns AS (SELECT DISTINCT n FROM bw),
-dw AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS t
-  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, ns WHERE len(w) >= n)),
-h AS (SELECT doc_id, i, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.t = bw.t),
-c AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM h) GROUP BY doc_id),
-m AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+dw AS (SELECT rid, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS t
+  FROM (SELECT rid, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, ns WHERE len(w) >= n)),
+h AS (SELECT rid, i, dw.n AS n, item FROM dw JOIN bw ON dw.n = bw.n AND dw.t = bw.t),
+c AS (SELECT rid, count(*) AS n_hit FROM (SELECT DISTINCT rid, unnest(generate_series(i, i + n - 1)) AS p FROM h) GROUP BY rid),
+m AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)"""
+FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid)"""

@@ -178,11 +178,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ship_package(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     runs = staged(files.mapInArrow(_runs, INDEX), "runs")
-    merged = runs.repartitionByRange("urlkey", "captured", "page_id").mapInArrow(_merge, INDEX)
     full = (runs.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("full_bytes"))
             .join(runs.where("record_type = 'revisit'").select("payload_digest").distinct(), "payload_digest", "left_semi"))
-    return (merged.join(full.withColumnRenamed("payload_digest", "of"), F.col("payload_digest") == F.col("of"), "left")
-            .withColumn("payload_bytes", F.coalesce("payload_bytes", "full_bytes")).drop("of", "full_bytes"))
+    # Sizes are looked up before the merge, whose order is then the order of the result.
+    sized = (runs.join(full.withColumnRenamed("payload_digest", "of"), F.col("payload_digest") == F.col("of"), "left")
+             .withColumn("payload_bytes", F.coalesce("payload_bytes", "full_bytes")).select(*runs.columns))
+    return sized.repartitionByRange("urlkey", "captured", "page_id").mapInArrow(_merge, INDEX)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
