@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.hashing import order_hash
 from riskframe.operators.metrics import BROADCAST_ROWS, balanced_weights, join_groups
+from riskframe.operators.rank import assign_by_rank, intervals_from_sizes, ntile_sizes
 
 SEED = 42
 
@@ -90,10 +91,20 @@ class CalibratedSVM:
         self.pairs = pairs  # [(LinearSVCModel, LogisticRegressionModel on the margin)]
 
 
+def calibration_folds(train: DataFrame, label: str = "label", row_id: str = "row_id", folds: int = CALIBRATION_FOLDS) -> DataFrame:
+    """``train`` with ``_fold`` 0 .. folds - 1: each class in a seeded order, cut into near-equal parts, so that every fold holds
+    every class of ``folds`` rows or more, its share exact to one row."""
+
+    def segments(totals: DataFrame) -> DataFrame:
+        return intervals_from_sizes(totals, [label], ntile_sizes(F.col("n"), folds), F.array(*[F.lit(k) for k in range(folds)]), "_fold")
+
+    return assign_by_rank(train.withColumn("_fh", order_hash(row_id, SEED, "fold")), hash_col="_fh", tiebreak=row_id, segments=segments, strata=[label]).drop("_fh")
+
+
 def fit_svm_calibrated(train: DataFrame, features: str = "features", label: str = "label",
                        row_id: str = "row_id", folds: int = CALIBRATION_FOLDS) -> CalibratedSVM:
     """Weights and C = 1 (``regParam = 1 / sum(weights)``) are those of the rows that a fold fits on."""
-    dealt = train.withColumn("_fold", F.pmod(order_hash(row_id, SEED, "fold"), F.lit(folds)))
+    dealt = calibration_folds(train, label, row_id, folds)
     pairs = []
     for k in range(folds):
         fit_part = with_class_weights(dealt.where(F.col("_fold") != k), label).withColumn(label, F.col(label).cast("double"))
