@@ -33,7 +33,14 @@ def staged(df: DataFrame, what: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, what)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a ``staged`` table that nothing reads any more."""
+    remove(df.sparkSession, df.staged_path)
 
 
 def row_key(*cols: str) -> Column:

@@ -7,7 +7,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import remove, shared_path, staged
+from riskframe.llm.common import discard, remove, shared_path, staged
+
+# Rounds of stars from ever other hubs before pairs of what is left are taken.
+STAR_ROUNDS = 6
 
 
 def components(edges: DataFrame, what: str = "components") -> DataFrame:
@@ -50,14 +53,49 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("comp"))).distinct())
 
 
+def _stars(rows: DataFrame, plain: DataFrame, payload: Sequence[str], label: DataFrame, near: Callable[[Callable, Callable], Column],
+           verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """More rounds of stars over ``rows(key, id)``: the labels after them, and ``(key, id, comp)`` of the keys that several components still share.
+
+    A key that one component has to itself stays so, hence every round looks only at the keys the one before left open.
+    """
+    side = lambda at: plain.select(F.col("id").alias(at), F.struct(*payload).alias(f"of_{at}"))
+    left, turn = rows, 0
+    while True:
+        held = staged(left.select("key", "id").join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")
+                      .select("key", "id", F.coalesce("comp", "id").alias("comp")), "held")
+        mixed = held.groupBy(F.col("key").alias("mixed")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("mixed")
+        still = staged(held.join(mixed, F.col("key") == F.col("mixed"), "left_semi"), "open")
+        discard(held)
+        if turn:
+            discard(left)
+        left, turn = still, turn + 1
+        if turn > STAR_ROUNDS or left.isEmpty():
+            return label, left
+        hubs = left.groupBy(F.col("key").alias("hub_key")).agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(turn))).alias("hub"))
+        pairs = (left.join(hubs, F.col("key") == F.col("hub_key")).where("comp <> hub.comp")
+                 .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"),
+                         F.least("comp", "hub.comp").alias("p"), F.greatest("comp", "hub.comp").alias("q")).distinct())
+        tried = staged(pairs.join(side("a"), "a").join(side("b"), "b").where(near(lambda c: F.col(f"of_a.{c}"), lambda c: F.col(f"of_b.{c}")))
+                       .groupBy("p", "q").agg(F.min_by(F.struct("a", "b"), F.xxhash64("a", "b", F.lit(turn))).alias("x")).select("x.a", "x.b"), "tried")
+        links = staged(verify(tried), "links")
+        if links.isEmpty():
+            return label, left
+        tree = label.select(F.col("comp").alias("a"), F.col("id").alias("b")).where("a <> b")
+        label = staged(components(links.select("a", "b").unionByName(tree)), "labels")
+
+
 def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Callable, Callable], Column],
                  verify: Callable[[DataFrame], DataFrame], *, sparse: bool = False) -> DataFrame:
     """``(id, comp)`` of all linked items of ``items(id, keys array<long>, *payload)``, exactly.
 
     The graph: two items share a key, are ``near`` by their payloads and pass ``verify``.  Round one links each item
-    of a bucket to one hub, a star instead of all pairs.  A pair whose two items are then in one component cannot change
-    the result, so round two compares only items of different components, inside the join, where only ``near``
-    pairs become rows.  Joins are on the key, which adaptive execution splits when it is hot.
+    of a bucket to one hub, a star instead of all pairs.  A hub at the edge of a family of near copies reaches few of them, so
+    more rounds follow over the keys that several components still share, each from another hub of every key (the
+    smallest hash of id and round) and with one pair for each two components, until a round finds no link or ``STAR_ROUNDS`` are done.
+    A pair whose two items are then in one component cannot change the result, so the last step compares all items of different components,
+    inside the join, where only ``near`` pairs become rows; it is exact whatever the rounds found.  Joins are on the key, which adaptive
+    execution splits when it is hot.
 
     ``verify`` gets distinct pairs (a, b) and returns the linked ones.  ``sparse``: most keys have one item, so those rows
     are dropped first and every bucket gets a star from its smallest id; rows of ``items`` may repeat.  Otherwise most keys
@@ -90,15 +128,9 @@ def link_buckets(items: DataFrame, payload: Sequence[str], near: Callable[[Calla
     star = staged(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     label = staged(components(verify(star)), "labels")
 
-    named = (plain.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
-             .withColumn("comp", F.coalesce("comp", "id")))
     if sparse:
-        # Keys that one component has to itself go before the payloads come in.
-        comps = named.select("id", "comp")
-        held = staged(rows.select("key", "id").join(comps, "id"), "held")
-        mixed = (held.groupBy(F.col("key").alias("mixed")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-                 .select("mixed"))
-        rest = held.join(mixed, F.col("key") == F.col("mixed"), "left_semi").join(named.drop("comp"), "id")
+        label, open_keys = _stars(rows.select("key", "id"), plain, payload, label, near, verify)
+        rest = open_keys.join(plain, "id")
     else:
         rest = (items.join(label.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left").drop("of")
                 .select("id", F.coalesce("comp", "id").alias("comp"), F.explode("keys").alias("key"), value))
