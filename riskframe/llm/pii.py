@@ -30,7 +30,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 URL_REST = re.compile(r"[^\s<>\"']+")
 ACCOUNT_CUES = ("IBAN", "iban", "Account", "account", "Acct", "acct")
-ACCOUNT = re.compile(r"(?:[\x20:#.-]|[Nn]o\b|[Nn]umber\b){0,6}((?=[A-Z0-9-]*[0-9]{4})[A-Z0-9][A-Z0-9-]{5,33})(?![A-Za-z0-9])")
+LEAD = re.compile(r"(?:[\x20:#.-]|[Nn]o\b|[Nn]umber\b)*+")  # between a cue and its account
+ACCOUNT = re.compile(r"(?=[A-Z0-9-]*[0-9]{4})[A-Z0-9][A-Z0-9-]{5,33}(?![A-Za-z0-9])")
+# Bank account in the international form: country, two check digits, groups of four (printed apart or not), the last may be shorter.
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?")
+IBAN_LENGTHS = range(15, 35)
 
 
 @cache
@@ -49,6 +53,30 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def mod97(account: str) -> bool:
+    """Check digits of an international account number: the first four characters moved behind, letters from A = 10."""
+    return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
+
+
+def account_end(text: str, start: int, strict: bool) -> int | None:
+    """Where the account that starts at ``start`` ends, or None.
+
+    The longest run of groups with right check digits is an international number.  What only looks like one is none; other
+    tokens with four digits in a row are accounts unless ``strict``.
+    """
+    if m := IBAN.match(text, start):
+        for end in range(m.end(), start, -1):
+            whole = not (end < len(text) and text[end].isalnum()) and text[end - 1] != " "
+            plain = text[start:end].replace(" ", "")
+            if whole and len(plain) in IBAN_LENGTHS and mod97(plain):
+                return end
+        if strict or " " not in m[0]:
+            return None
+    if strict or not (m := ACCOUNT.match(text, start)):
+        return None
+    return m.end()
+
+
 def find(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans (code points, end exclusive) by kind, in order of start."""
     out: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
@@ -94,9 +122,11 @@ def find(text: str) -> dict[str, list[tuple[int, int]]]:
                 if end > at + 3:
                     done[kind] = end
                     out[kind].append((start, end))
-        elif (at == 0 or not text[at - 1].isalnum()) and (m := ACCOUNT.match(text, last + 1)):
-            done[kind] = m.end(1)
-            out[kind].append(m.span(1))
+        elif at == 0 or not text[at - 1].isalnum():
+            start = LEAD.match(text, last + 1).end()
+            if end := account_end(text, start, strict=size == len("IBAN") and text[at : last + 1].upper() == "IBAN"):
+                done[kind] = end
+                out[kind].append((start, end))
     return out
 
 
