@@ -9,7 +9,7 @@ a chunk that occurs twice is repeated as a whole.
 A task concatenates its different chunks and builds their suffix array in two stages: only suffixes smaller than their successor are
 sorted directly; the others are induced by scanning the buckets of the first byte in order.  Common prefixes of neighbours
 then give the strings that start at two places.  An anchor with more than ``HOT`` different chunks (the edge of a passage that very many
-documents share) is settled by counting its windows instead, a partial aggregation without a group in one task.
+documents share) is parted before that, see ``part_hot``; no task gets more than ``HOT`` chunks of one group.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import RollingHash, checked_broadcast, flat, mix, staged, steps, table
+from riskframe.llm.common import RollingHash, checked_broadcast, discard, flat, mix, staged, steps, table
 from riskframe.session import ship_package
 
 LENGTH, GRAM = 200, 88
@@ -88,7 +88,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lo = [max(0, x["pos"] - REACH) for x in part]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x["h"] for x in part], pa.int64()), pa.array([x["t"] for x in part], pa.int64()), pa.array([x["many"] for x in part], pa.bool_()),
-                     pa.array(lo, pa.int64()), pa.array([raw[a : x["pos"] + LENGTH] for a, x in zip(lo, part)], pa.binary())], names=["h", "t", "many", "lo", "chunk"])
+                     pa.array(lo, pa.int64()), pa.array([raw[a : x["pos"] + LENGTH] for a, x in zip(lo, part)], pa.binary()),
+                     pa.array([x["pos"] - a for a, x in zip(lo, part)], pa.int32())], names=["h", "t", "many", "lo", "chunk", "x"])
 
 
 def suffix_order(text: np.ndarray, need: np.ndarray, depth: int) -> np.ndarray:
@@ -218,19 +219,40 @@ def _sort_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give(rows)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of a hot anchor's chunks by two hashes, with its place."""
-    first, second = RollingHash(3), RollingHash(4)
-    for batch in batches:
-        for t, many, lo, chunk in zip(*(batch.column(c).to_pylist() for c in ("t", "many", "lo", "chunk"))):
-            data = np.frombuffer(chunk, np.uint8)
-            s = np.arange(len(data) - LENGTH + 1)
-            keys = []
-            for h in (first, second):
-                h.load(data)
-                keys.append(h.at(s, s + LENGTH).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(np.full(len(s), t)), pa.array(s + lo), pa.array([many] * len(s), pa.bool_())],
-                                             names=["k1", "k2", "t", "at", "many"])
+def part_hot(cut: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Chunks in groups of at most ``HOT``, and spans ``(t, lo, hi)`` of the strings that larger groups have in common.
+
+    The chunks of a group agree in bytes [x, y) around their anchor, and each string to judge covers these and ``rest`` bytes more, so it
+    covers half of ``rest`` to the left or half to the right.  A hot group is parted by the bytes of that half on the left
+    and, separately, by those on the right: equal strings meet again in one of the two.  After seven rounds [x, y) is the
+    string itself, which then starts wherever a chunk of the group lies.  A chunk alone in its group repeats nothing.
+    """
+    groups, rest, y, done = cut.withColumn("y", F.col("x") + GRAM), LENGTH - GRAM, F.col("y"), []
+    while True:
+        sizes = staged(groups.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).where(F.col("kinds") > HOT).select("g"), "hot")
+        n_hot = sizes.count()
+        if not n_hot:
+            done.append(groups)
+            break
+        hot_groups = checked_broadcast(sizes, n_hot)
+        done.append(groups.join(hot_groups, F.col("h") == F.col("g"), "left_anti"))
+        hot = groups.join(hot_groups, F.col("h") == F.col("g"), "left_semi")
+        if not rest:
+            break
+        half = -(-rest // 2)
+        side = lambda name, start, x, y: F.struct(F.xxhash64("h", F.lit(name), F.expr(f"substring(chunk, {start}, {half})")).alias("h"), x.alias("x"), y.alias("y"))
+        left = F.when(F.col("x") >= half, side("left", f"x - {half} + 1", F.col("x") - half, y))
+        right = F.when(y + half <= F.octet_length("chunk"), side("right", "y + 1", F.col("x"), y + half))
+        parts = staged(hot.select("t", "many", "lo", "chunk", F.explode(F.array_compact(F.array(left, right))).alias("side"))
+                       .select("side.h", "t", "many", "lo", "chunk", "side.x", "side.y"), "parts")
+        alone = parts.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
+        groups, rest = staged(parts.join(alone, F.col("h") == F.col("g"), "left_semi"), "groups"), rest - half
+        discard(parts)
+    few = done[0]
+    for more in done[1:]:
+        few = few.unionByName(more)
+    spans = hot.select("t", (F.col("lo") + F.col("x")).alias("lo"), (F.col("lo") + F.col("y")).alias("hi")).where("not many") if n_hot else None
+    return few, spans
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -244,26 +266,18 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     again = variants.where("k > 1").select(F.col("h").alias("h2"), F.col("c").alias("c2"))
     spans = whole(dup.where("not varied")).unionByName(
         whole(dup.where("varied").join(again, (F.col("h") == F.col("h2")) & (F.col("c") == F.col("c2")))))
-    hot = variants.groupBy("h").agg(F.count("*").alias("kinds")).where(F.col("kinds") > HOT).select(F.col("h").alias("hh"))
-    hot = staged(hot, "hot")
-    n_hot = hot.count()
     # One place of each variant; its chunk is cut from that text.
     at = (dup.where("varied").join(variants.select(F.col("h").alias("h2"), F.col("c").alias("c2"), F.col("t").alias("t2"), F.col("k")),
                                    (F.col("h") == F.col("h2")) & (F.col("c") == F.col("c2")) & (F.col("t") == F.col("t2")))
           .groupBy("h", "c", "t").agg(F.min("pos").alias("pos"), (F.max("k") > 1).alias("many")))
     want = at.groupBy("t").agg(F.collect_list(F.struct("h", "t", "pos", "many")).alias("want")).withColumnRenamed("t", "of")
     cut = staged(texts.dropDuplicates(["t"]).join(want, F.col("t") == F.col("of")).select("text", "want")
-                 .mapInArrow(_chunks, "h long, t long, many boolean, lo long, chunk binary"), "chunks")
-    cold = cut.join(checked_broadcast(hot, n_hot), F.col("h") == F.col("hh"), "left_anti") if n_hot else cut
-    spans = spans.unionByName(cold.repartition("h").sortWithinPartitions("h", "t", "lo").mapInArrow(_sort_chunks, "t long, lo long, hi long"))
-    if n_hot:
-        windows = staged(cut.join(checked_broadcast(hot, n_hot), F.col("h") == F.col("hh"), "left_semi")
-                         .mapInArrow(_windows, "k1 long, k2 long, t long, at long, many boolean"), "windows")
-        place = F.struct("t", "at")
-        often = (windows.groupBy(F.col("k1").alias("a1"), F.col("k2").alias("a2")).agg(F.min(place).alias("p"), F.max(place).alias("q"), F.max("many").alias("many"), F.count("*").alias("c"))
-                 .where("p <> q or (many and c > 1)").select("a1", "a2"))
-        spans = spans.unionByName(windows.join(often, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")))
-                                  .select("t", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")).distinct())
+                 .mapInArrow(_chunks, "h long, t long, many boolean, lo long, chunk binary, x int"), "chunks")
+    few, common = part_hot(cut)
+    few = few.select("h", "t", "many", "lo", "chunk")
+    spans = spans.unionByName(few.repartition("h").sortWithinPartitions("h", "t", "lo").mapInArrow(_sort_chunks, "t long, lo long, hi long"))
+    if common is not None:
+        spans = spans.unionByName(common)
     return spans.groupBy("t").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
