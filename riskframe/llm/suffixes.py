@@ -163,14 +163,16 @@ def repeated_starts(chunks: list[bytes], place: np.ndarray, many: np.ndarray) ->
     order = order[order < n - 1]
     order = order[(begin + size)[owner[order]] - order >= LENGTH]
     # Common prefixes of neighbours, eight bytes at a time.
-    padded = np.concatenate([text, np.zeros(LENGTH + 8, np.uint8)])
-    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    padded = np.concatenate([text, np.zeros(LENGTH + 16, np.uint8)])
+    eight = np.empty((len(padded) - 8) // 8 * 8, np.uint64)  # the eight bytes from every place as one number
+    for r in range(8):
+        eight[r::8] = padded[r : r + len(eight)].view(np.uint64)
     a, b = order[:-1], order[1:]
-    same = np.arange(len(a))
     for k in range(0, LENGTH, 8):
-        if not len(same):
-            break
-        same = same[(eight[a[same] + k] == eight[b[same] + k]).all(axis=1)]
+        alike = eight[a + k] == eight[b + k]
+        if not alike.all():
+            a, b = a[alike], b[alike]
+    same = np.flatnonzero(np.isin(order[:-1], a, kind="table")) if len(a) else np.zeros(0, np.int64)
     joined = np.zeros(len(order) + 1, bool)
     joined[same + 1] = True
     run = np.cumsum(~joined[:-1]) - 1 if len(order) else np.zeros(0, np.int64)
