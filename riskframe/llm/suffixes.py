@@ -263,6 +263,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     shared = (found.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("k"), F.min("c").alias("c0"), F.max("c").alias("c1"))
               .where("k > 1").select("g", (F.col("c0") != F.col("c1")).alias("varied")))
     dup = staged(found.join(shared, F.col("h") == F.col("g")).select("h", "c", "t", "pos", "n", "varied"), "shared")
+    discard(found)
     whole = lambda df: df.select("t", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("lo"), F.least(F.col("pos") + LENGTH, "n").alias("hi"))
     variants = staged(dup.where("varied").groupBy("h", "c").agg(F.count("*").alias("k"), F.min("t").alias("t")), "variants")
     again = variants.where("k > 1").select(F.col("h").alias("h2"), F.col("c").alias("c2"))
