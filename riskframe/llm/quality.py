@@ -7,8 +7,8 @@ A document's strength is its weighted feature sum.  The cut is a quantile of the
 documents, the one with as many below it as are labelled bad; the score is the chance to be preferred to a document at the
 cut, moved so that the cut scores ``CUT``.
 
-The fit uses at most ``max_rows`` labelled documents, those of smallest id hash (a documented bound), and runs as a Spark job over
-the pairs; scoring reads every text whole in one map without a shuffle.
+Every text is read whole, once: its features are stored and serve the fit, the cut and the scores.  The fit uses every labelled
+document outside the held-out fold and runs as a Spark job over the pairs; the cut is the exact quantile of all their strengths.
 """
 
 from __future__ import annotations
@@ -20,18 +20,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import LOWER, SPACE, RollingHash, checked_broadcast, flat, staged, steps, table, words
+from riskframe.llm.common import LOWER, SPACE, RollingHash, discard, flat, staged, steps, table, words
+from riskframe.operators.rank import ordered_row_number
 from riskframe.session import ship_package
 
-MAX_TRAIN_ROWS = 8_000
 # Pairs per document of the more frequent label.
 PARTNERS = 8
 RIDGE = 1e-3
 CUT = 0.3
 FOLDS, HELD_OUT = 5, 0
+# Parts of the value range that one pass of the quantile counts.
+SLICES = 4096
 _HASH = RollingHash(151)
 
 # Character classes: each ASCII sign that is neither letter nor digit, then the classes below.
@@ -112,32 +114,57 @@ def held_out(id_col: str) -> Column:
 def preference_pairs(known: DataFrame, partners: int = PARTNERS) -> DataFrame:
     """``(better, worse)`` features: every document of ``known(doc_id, good, x)`` meets ``partners`` or more of the other label.
 
-    ``known`` is a bounded sample.  Pair t sets good document t mod g against bad document (t + t div g) mod b.
+    Pair t sets good document t mod g against bad document (t + t div g) mod b, each label in the order of its id hashes.
     """
     counts = {r["good"]: r["count"] for r in known.groupBy("good").count().collect()}
     g, b = counts.get(1, 0), counts.get(0, 0)
     if not g or not b:
         return known.sparkSession.createDataFrame([], "better array<double>, worse array<double>")
-    ranked = known.withColumn("at", F.row_number().over(Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id")).cast("long") - 1)
+    ranked = ordered_row_number(known.withColumn("h", F.xxhash64("doc_id")), ["good"], "h", "at").withColumn("at", F.col("at").cast("long") - 1)
     side = lambda good, at, name: ranked.where(F.col("good") == good).select(F.col("at").alias(at), F.col("x").alias(name))
     pairs = known.sparkSession.range(max(g, b) * min(partners, min(g, b))).selectExpr(f"id % {g} as p", f"(id + id div {g}) % {b} as q")
     return pairs.join(side(1, "p", "better"), "p").join(side(0, "q", "worse"), "q").select("better", "worse")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Weights and cut from ``labels(doc_id, quality)``, held-out ids and rows with a null left aside.
+def quantile(rows: DataFrame, value: Column, share: float) -> float:
+    """The exact quantile, interpolated as by ``percentile``, of a column without nulls.
+
+    Each pass counts the values by slices of the range that is left and goes on with the slice of the two ranks asked for.
+    """
+    rows = rows.select(value.alias("v"))
+    whole = rows.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    at = (whole["n"] - 1) * share
+    low, high, before, lo, hi = math.floor(at), math.ceil(at), 0, whole["lo"], whole["hi"]
+    while lo < hi:
+        part = F.least(F.floor((F.col("v") - lo) / (hi - lo) * SLICES), F.lit(SLICES - 1))
+        slices = (rows.where(F.col("v").between(lo, hi)).groupBy(part.alias("part"))
+                  .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("part").collect())
+        ends = np.cumsum([r["n"] for r in slices]) + before
+        i, j = (int(np.searchsorted(ends, k, side="right")) for k in (low, high))
+        if i != j:  # neighbours in rank: the last value of one slice, the first of the next
+            return (high - at) * slices[i]["hi"] + (at - low) * slices[j]["lo"]
+        before, lo, hi = int(ends[i]) - slices[i]["n"], slices[i]["lo"], slices[i]["hi"]
+    return lo
+
+
+def document_features(docs: DataFrame) -> DataFrame:
+    """``(doc_id, held_out, h, x)`` per row of ``docs``, stored: the hash and the features of its text."""
+    ship_package(docs.sparkSession)
+    rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = rows.select("doc_id", "held_out", F.xxhash64("text").alias("h"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return staged(rows.mapInArrow(_encode, f"doc_id {kind}, held_out boolean, h long, x array<double>"), "quality-features")
+
+
+def train(found: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """Weights and cut from ``document_features`` and ``labels(doc_id, quality)``, held-out ids and rows with a null left aside.
 
     A document labelled several times is good only if all rows say so; of several texts of one id the one of smallest hash is used.
     Without both labels the weights are zero; all documents then score ``CUT``, or less if all labelled ones are bad.
     """
-    spark = docs.sparkSession
-    ship_package(spark)
-    picked = (labels.where("doc_id is not null and quality is not null").where(~held_out("doc_id"))
-              .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("good"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    texts = (docs.select(F.col("doc_id").alias("id"), "text").join(checked_broadcast(picked, max_rows), F.col("id") == F.col("doc_id"))
-             .select("doc_id", "good", F.xxhash64("text").alias("h"), "text"))
-    known = staged(texts.mapInArrow(_encode, "doc_id long, good int, h long, x array<double>")
+    marks = (labels.where("doc_id is not null and quality is not null").where(~held_out("doc_id"))
+             .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("good")))
+    known = staged(found.where("not held_out").join(marks, "doc_id")
                    .groupBy("doc_id").agg(F.min(F.struct("h", "good", "x")).alias("k")).select("doc_id", "k.good", "k.x"), "quality-known")
     d = len(NAMES)
     seen = known.agg(F.count("*").alias("n"), F.sum("good").alias("g")).first()
@@ -152,32 +179,32 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
     pairs = staged(pairs.select(F.transform("v", lambda x: F.when(F.col("turn") == 1, -x).otherwise(x)).alias("v"), (1.0 - F.col("turn")).alias("label")), "quality-pairs")
     fit = LogisticRegression(featuresCol="v", labelCol="label", fitIntercept=False, standardization=False, regParam=RIDGE, maxIter=100)
     weights = fit.fit(pairs.select(array_to_vector("v").alias("v"), "label")).coefficients.toArray() * scale
+    discard(pairs)
     strength = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b), F.lit(0.0), lambda s, t: s + t)
-    cut = known.agg(F.percentile(strength, F.lit(1 - seen["g"] / seen["n"])).alias("cut")).first()["cut"]
+    cut = quantile(known, strength, 1 - seen["g"] / seen["n"])
+    discard(known)
     return weights, float(cut)
 
 
-def quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` per row of ``docs(doc_id, text)``, each by its own text whatever its id.
 
     ``score`` is the chance of being preferred, ``CUT`` at the quantile that parts good from bad; null and empty texts have all
     features zero and are scored like any other.  Only the text enters the score: other columns are ignored.
     """
-    weights, cut = train(docs, labels, max_rows)
+    found = document_features(docs)
+    weights, cut = train(found, labels)
     shift = math.log(CUT / (1 - CUT)) - cut
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = flat(b.column("text"))
-            score = np.zeros(b.num_rows)
-            for i, j in steps(off):
-                score[i:j] = features(data[off[i] : off[j]], off[i : j + 1] - off[i]) @ weights
+            score = b.column("x").flatten().to_numpy().reshape(-1, len(NAMES)) @ weights
             score = 1 / (1 + np.exp(-np.clip(score + shift, -700, 700)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(score), pa.array((score >= CUT).astype(np.int32))],
                                              names=["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, score double, predicted int")
+    kind = found.schema["doc_id"].dataType.simpleString()
+    return found.select("doc_id", "held_out", "x").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
 
 def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,3 +82,24 @@ def test_odd_rows(spark):
     assert Q.quality(docs.limit(0), labels).collect() == []
     for some, flag in ((labels.limit(0), 1), (labels.where("quality = 1"), 1), (labels.where("quality = 0"), 0)):  # one label or none
         assert {r.predicted for r in Q.quality(docs, some).collect()} == {flag}
+
+
+def test_all_labelled_documents_are_fitted(spark):
+    """A mark that only a few labelled documents beyond the first 8,000 by id hash show is learnt."""
+    ids = spark.range(13_000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h")).where(~Q.held_out("doc_id"))
+    order = [r.doc_id for r in ids.orderBy("h").collect()]
+    late = set(order[8_000:])
+    assert len(late) > 1_000
+    rows = [(i, ("plain words ~ " if i in late and i % 2 == 0 else "plain words ") * (1 + i % 5)) for i in order]
+    docs = spark.createDataFrame([*rows, (50_000, "plain ~ words"), (50_001, "plain words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0 if i in late and i % 2 == 0 else 1) for i in order], "doc_id long, quality int")
+    got = {r.doc_id: r for r in Q.quality(docs, labels).collect()}
+    assert got[50_000].predicted == 0 and got[50_001].predicted == 1 and got[50_000].score < got[50_001].score
+
+
+def test_quantile_is_exact(spark):
+    rng = random.Random(6)
+    for values in ([3.0], [1.0, 2.0], [5.0] * 50, [rng.gauss(0, 1) ** 9 for _ in range(3_000)] + [0.25] * 4_000 + [1e300, -1e300]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        for share in (0.0, 0.1, 1 / 3, 0.5, 0.93, 1.0):
+            assert Q.quantile(df, F.col("v"), share) == df.agg(F.percentile("v", F.lit(share)).alias("p")).first().p
