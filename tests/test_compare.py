@@ -10,6 +10,7 @@ from riskframe.catalog.fitted import fitted
 from riskframe.operators import models as ML
 from riskframe.operators import scoring as SC
 from riskframe.operators.features import sanitize_target, target_drop_count
+from riskframe.operators.split import subsample, training_sample
 from riskframe.plans.compare import central_baseline, run_comparison
 from riskframe.session import materialize
 from riskframe.sources import sinks
@@ -101,3 +102,14 @@ def test_dropped_labels_are_counted(spark):
     df = spark.createDataFrame([("0",), ("1",), ("2",), ("x",), (None,), ("1.0",)], "y string")
     kept = materialize(sanitize_target(df, "y"))
     assert kept.count() == 3 and target_drop_count(df, kept) == 3
+
+
+def test_training_sample_fills_its_partitions(spark):
+    """The capped rows are those of the plain subsample, in a number of partitions that the input's does not change."""
+    few, many = (spark.range(3_000, numPartitions=p).withColumnRenamed("id", "row_id") for p in (1, 50))
+    cut = [training_sample(df, 1_000, part_rows=300) for df in (few, many)]
+    assert [c.rdd.getNumPartitions() for c in cut] == [4, 4]
+    assert cut[0].rdd.glom().map(lambda p: [r[0] for r in p]).collect() == cut[1].rdd.glom().map(lambda p: [r[0] for r in p]).collect()
+    assert {r[0] for r in cut[0].collect()} == {r[0] for r in subsample(many, 1_000).collect()}
+    assert training_sample(many, 1_000).rdd.getNumPartitions() == 1
+    assert training_sample(many, 0).count() == 3_000
