@@ -15,13 +15,26 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import checked_broadcast, row_key, staged, table
 
 SPAN, GRAM = 10, 5
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words before lower-casing: A-Z belong to them too, so words are cut and counted on the text as it is.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def lower_az(word: Column) -> Column:
+    """``word`` with A-Z in lower case, other letters as they are.  ``translate`` costs a map lookup per character, so only words with
+    A-Z beside non-ASCII letters pay for it."""
+    return (F.when(F.octet_length(word) == F.char_length(word), F.lower(word))
+            .when(word.rlike("[A-Z]"), F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(word))
 
 
 def bench_words(text: Column) -> Column:
-    """Words of a text after lower-casing A-Z; null has none."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.coalesce(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """Words of a text after lower-casing A-Z; null has none.  ASCII texts are lower-cased whole, others word by word."""
+    cut = lambda t: F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
+    return F.coalesce(F.when(F.octet_length(text) == F.char_length(text), cut(F.lower(text))).otherwise(F.transform(cut(text), lower_az)),
+                      F.array().cast("array<string>"))
+
+
+def n_bench_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def grams(words: Column, size: int) -> Column:
@@ -80,8 +93,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
              .agg(F.count("*").alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256")))
     found = covered.join(named, F.col("doc").eqNullSafe(F.col("d"))).drop("d")
     found = staged(found, "found")
-    n = F.coalesce(F.regexp_count(F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(WORD)), F.lit(0)).cast("long")
-    return (docs.select(F.col(id_col).alias("doc_id"), F.col(key).alias("__key"), n.alias("n_words"))
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(key).alias("__key"), n_bench_words(F.col(text_col)).alias("n_words"))
             .join(checked_broadcast(found, found.count()), F.col("__key").eqNullSafe(F.col("doc")), "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
