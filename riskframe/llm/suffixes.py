@@ -15,7 +15,7 @@ documents share) is parted before that, see ``part_hot``; no task gets more than
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -221,40 +221,73 @@ def _sort_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give(rows)
 
 
+def _alike(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        k = (lo + hi + 1) // 2
+        lo, hi = (k, hi) if a[lo:k] == b[lo:k] else (lo, k - 1)
+    return lo
+
+
+def _against_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks beside the hub of their group -> spans ``(t, lo, hi)`` of the strings shared with it (``chunk`` null) and what is left of each chunk, see ``part_hot``."""
+    for batch in batches:
+        out, spans = [], set()
+        for h, t, many, lo, chunk, x, least, most, hub in zip(*(batch.column(c).to_pylist() for c in ("h", "t", "many", "lo", "chunk", "x", "least", "most", "hub"))):
+            if (t, lo, x) == (hub["t"], hub["lo"], hub["x"]):
+                continue
+            at, end = hub["x"], x + GRAM
+            left = _alike(chunk[:x][::-1], hub["chunk"][:at][::-1])
+            right = _alike(chunk[end:], hub["chunk"][at + GRAM :])
+            a, b = max(least, REACH - right), min(left, most)
+            if a <= b:
+                spans |= {(u, p - b, p - a + LENGTH) for u, p, whole in ((t, lo + x, many), (hub["t"], hub["lo"] + at, hub["many"])) if not whole}
+            for a, b, key in ((max(least, left + 1), most, b"l" + chunk[max(0, x - left - 1) : x]), (least, min(left, REACH - right - 1, most), b"r" + chunk[end : end + right + 1])):
+                if a <= b:
+                    group = int.from_bytes(blake2b(key, digest_size=8, key=h.to_bytes(8, "big", signed=True)).digest(), "big", signed=True)
+                    out.append((group, t, many, lo, None, chunk, x, a, b))
+        out += [(None, t, None, lo, hi, None, None, None, None) for t, lo, hi in spans]
+        cols = list(zip(*out)) or [()] * 9
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, kinds)], names=["h", "t", "many", "lo", "hi", "chunk", "x", "least", "most"])
+
+
 def part_hot(cut: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Chunks in groups of at most ``HOT``, and spans ``(t, lo, hi)`` of the strings that larger groups have in common.
+    """Chunks in groups of at most ``HOT``, and spans ``(t, lo, hi)`` of the strings that members of larger groups share with the hubs of these.
 
-    The chunks of a group agree in bytes [x, y) around their anchor, and each string to judge covers these and ``rest`` bytes more, so it
-    covers half of ``rest`` to the left or half to the right.  A hot group is parted by the bytes of that half on the left
-    and, separately, by those on the right: equal strings meet again in one of the two.  After seven rounds [x, y) is the
-    string itself, which then starts wherever a chunk of the group lies.  A chunk alone in its group repeats nothing.
+    A string to judge is known by how many bytes s it reaches to the left of the anchor; [``least``, ``most``] are those still to judge of a chunk.  One
+    chunk of a hot group, its hub, is compared with all others: one that agrees with it in ``left`` bytes before the anchor and ``right`` bytes behind it shares the
+    strings from REACH - right to left.  Those of larger s it can share only with chunks of the same first left + 1 bytes, the others with chunks
+    of the same right + 1 bytes behind: the groups of the next round.  The ranges never overlap, so a passage that all members have is settled at
+    once however long it is, and a chunk's rows do not double with each round.  A chunk alone in its group repeats nothing.
     """
-    groups, rest, y, done = cut.withColumn("y", F.col("x") + GRAM), LENGTH - GRAM, F.col("y"), []
+    groups = (cut.withColumn("least", F.greatest(F.lit(0), LENGTH - (F.octet_length("chunk") - F.col("x"))).cast("int"))
+              .withColumn("most", F.least(F.lit(REACH), "x").cast("int")).where("least <= most"))
+    done, spans = [], []
+    columns = ["h", "t", "many", "lo", "chunk", "x", "least", "most"]
     while True:
-        sizes = staged(groups.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).where(F.col("kinds") > HOT).select("g"), "hot")
+        sizes = staged(groups.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds"), F.min_by(F.struct("t", "lo", "x"), F.xxhash64("t", "lo", "h")).alias("hub"))
+                       .where(F.col("kinds") > HOT).select("g", "hub"), "hot")
         n_hot = sizes.count()
         if not n_hot:
             done.append(groups)
             break
-        hot_groups = checked_broadcast(sizes, n_hot)
-        done.append(groups.join(hot_groups, F.col("h") == F.col("g"), "left_anti"))
-        hot = groups.join(hot_groups, F.col("h") == F.col("g"), "left_semi")
-        if not rest:
-            break
-        half = -(-rest // 2)
-        side = lambda name, start, x, y: F.struct(F.xxhash64("h", F.lit(name), F.expr(f"substring(chunk, {start}, {half})")).alias("h"), x.alias("x"), y.alias("y"))
-        left = F.when(F.col("x") >= half, side("left", f"x - {half} + 1", F.col("x") - half, y))
-        right = F.when(y + half <= F.octet_length("chunk"), side("right", "y + 1", F.col("x"), y + half))
-        parts = staged(hot.select("t", "many", "lo", "chunk", F.explode(F.array_compact(F.array(left, right))).alias("side"))
-                       .select("side.h", "t", "many", "lo", "chunk", "side.x", "side.y"), "parts")
-        alone = parts.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
-        groups, rest = staged(parts.join(alone, F.col("h") == F.col("g"), "left_semi"), "groups"), rest - half
-        discard(parts)
+        done.append(groups.join(checked_broadcast(sizes.select("g"), n_hot), F.col("h") == F.col("g"), "left_anti"))
+        hubs = staged(groups.join(checked_broadcast(sizes, n_hot), (F.col("h") == F.col("g")) & (F.struct("t", "lo", "x") == F.col("hub")))
+                      .select("g", F.struct("t", "many", "lo", "chunk", "x").alias("hub")).dropDuplicates(["g"]), "hubs")
+        parts = staged(groups.join(checked_broadcast(hubs, n_hot), F.col("h") == F.col("g")).select(*columns, "hub")
+                       .mapInArrow(_against_hub, "h long, t long, many boolean, lo long, hi long, chunk binary, x int, least int, most int"), "parts")
+        spans.append(parts.where("chunk is null").select("t", "lo", "hi"))
+        alone = parts.where("chunk is not null").groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).where("kinds > 1").select("g")
+        groups = staged(parts.where("chunk is not null").join(alone, F.col("h") == F.col("g"), "left_semi").select(*columns), "groups")
     few = done[0]
     for more in done[1:]:
         few = few.unionByName(more)
-    spans = hot.select("t", (F.col("lo") + F.col("x")).alias("lo"), (F.col("lo") + F.col("y")).alias("hi")).where("not many") if n_hot else None
-    return few, spans
+    common = None
+    for more in spans:
+        common = more if common is None else common.unionByName(more)
+    return few, common
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
